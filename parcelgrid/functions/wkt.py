@@ -1,0 +1,95 @@
+"""Well-known text to geometry and back, as native Column expressions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from parcelgrid.functions.geometry import _column, record, st_point, st_polygon
+from parcelgrid.types import GEOMETRY_TYPE, POINT, VERTEX_TYPE
+
+# Patterns of the text form. Bodies are taken out first and then split, so that no
+# pattern repeats over vertices.
+KIND_PATTERN = r"(?is)^\s*(POINT|POLYGON|MULTIPOLYGON)\b"
+EMPTY_PATTERN = r"(?is)^\s*(POINT|POLYGON|MULTIPOLYGON)\s+EMPTY\s*$"
+POINT_PATTERN = r"(?is)^\s*POINT\s*\((.*)\)\s*$"
+POLYGON_PATTERN = r"(?is)^\s*POLYGON\s*\(\s*\((.*)\)\s*\)\s*$"
+MULTIPOLYGON_PATTERN = r"(?is)^\s*MULTIPOLYGON\s*\(\s*\(\s*\((.*)\)\s*\)\s*\)\s*$"
+BETWEEN_PARTS = r"\)\s*\)\s*,\s*\(\s*\("
+BETWEEN_RINGS = r"\)\s*,\s*\("
+VERTEX_PATTERN = r"^\s*[-+0-9.eE]+\s+[-+0-9.eE]+\s*$"
+
+
+def _error(message: str, text: Column, data_type) -> Column:
+    shown = F.concat(F.lit(message + ": "), F.substring(text, 1, 80))
+    return F.raise_error(shown).cast(data_type)
+
+
+def _vertex(text: Column) -> Column:
+    # The pattern keeps out what a cast would take: NaN, Infinity, type suffixes.
+    words = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")
+    x = F.get(words, F.lit(0)).try_cast("double") + F.lit(0.0)
+    y = F.get(words, F.lit(1)).try_cast("double") + F.lit(0.0)
+    finite = F.abs(x) + F.abs(y) < F.lit(float("inf"))
+    return F.when(
+        text.rlike(VERTEX_PATTERN) & finite, record(x=x, y=y)
+    ).otherwise(_error("bad coordinates in WKT", text, VERTEX_TYPE))
+
+
+def _ring(text: Column) -> Column:
+    # One pass: parse, then check through an array of one, so the ring is not parsed twice.
+    parsed = F.array(F.transform(F.split(text, ","), _vertex))
+    return F.transform(
+        parsed,
+        lambda r: F.when(
+            (F.size(r) >= 4) & (F.element_at(r, 1) == F.element_at(r, -1)), r
+        ).otherwise(_error("unclosed ring in WKT", text, f"array<{VERTEX_TYPE.simpleString()}>")),
+    )[0]
+
+
+def st_geomfromtext(wkt: Column | str, srid: Column | int = 0) -> Column:
+    """POINT, POLYGON or MULTIPOLYGON text to geometry.
+
+    NULL and EMPTY give NULL. Malformed text, an unclosed ring or another kind raises.
+    """
+    text = _column(wkt)
+    kind = F.upper(F.regexp_extract(text, KIND_PATTERN, 1))
+    bodies = F.when(
+        kind == "POLYGON", F.array(F.regexp_extract(text, POLYGON_PATTERN, 1))
+    ).otherwise(F.split(F.regexp_extract(text, MULTIPOLYGON_PATTERN, 1), BETWEEN_PARTS))
+    parts = F.transform(bodies, lambda body: F.transform(F.split(body, BETWEEN_RINGS), _ring))
+    # The parts are used several times below (box, kind, value): bind them once.
+    polygon = F.transform(F.array(parts), lambda p: st_polygon(p, srid))[0]
+    vertex = F.transform(F.array(_vertex(F.regexp_extract(text, POINT_PATTERN, 1))), lambda v: v)[0]
+    point = st_point(vertex["x"], vertex["y"], srid).cast(GEOMETRY_TYPE)
+    return (
+        F.when(text.isNull() | text.rlike(EMPTY_PATTERN), F.lit(None).cast(GEOMETRY_TYPE))
+        .when(kind == POINT, point)
+        .when(kind != "", polygon)
+        .otherwise(_error("unsupported WKT", text, GEOMETRY_TYPE))
+    )
+
+
+def st_astext(geometry: Column | str) -> Column:
+    """Geometry to WKT, coordinates in Spark's text form of a double."""
+    geom = _column(geometry)
+
+    def vertex(v: Column) -> Column:
+        return F.concat_ws(" ", v["x"].cast("string"), v["y"].cast("string"))
+
+    def ring(r: Column) -> Column:
+        return F.concat(F.lit("("), F.array_join(F.transform(r, vertex), ", "), F.lit(")"))
+
+    def part(p: Column) -> Column:
+        return F.concat(F.lit("("), F.array_join(F.transform(p, ring), ", "), F.lit(")"))
+
+    box = geom["bbox"]
+    point = F.concat(
+        F.lit("POINT ("), box["xmin"].cast("string"), F.lit(" "), box["ymin"].cast("string"), F.lit(")")
+    )
+    parts = F.array_join(F.transform(geom["parts"], part), ", ")
+    return (
+        F.when(geom["kind"] == POINT, point)
+        .when(geom["kind"] == "POLYGON", F.concat(F.lit("POLYGON "), parts))
+        .when(geom["kind"] == "MULTIPOLYGON", F.concat(F.lit("MULTIPOLYGON ("), parts, F.lit(")")))
+    )
