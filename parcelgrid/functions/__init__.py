@@ -3,32 +3,25 @@
 from parcelgrid.functions.classify import classify_parcel
 from parcelgrid.functions.geometry import (
     make_point,
-    point_in_polygon,
+    st_astext,
     st_distance,
+    st_geomfromtext,
     st_intersects,
     st_point,
-    st_polygon,
     st_setsrid,
     st_srid,
-    st_x,
-    st_y,
 )
 from parcelgrid.functions.sql import register_sql_functions
-from parcelgrid.functions.wkt import st_astext, st_geomfromtext
 
 __all__ = [
     "classify_parcel",
     "make_point",
-    "point_in_polygon",
     "register_sql_functions",
     "st_astext",
     "st_distance",
     "st_geomfromtext",
     "st_intersects",
     "st_point",
-    "st_polygon",
     "st_setsrid",
     "st_srid",
-    "st_x",
-    "st_y",
 ]

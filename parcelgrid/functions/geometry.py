@@ -1,30 +1,39 @@
-"""Geometry constructors, accessors and predicates as native Column expressions."""
+"""The spatial functions on columns: native expressions, no Python per row."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from parcelgrid.types import BBOX_TYPE, GEOMETRY_TYPE, MULTIPOLYGON, PARTS_TYPE, POINT, POLYGON
-
-# An edge test adds 1 when the edge lies to the right of the point, and ON_EDGE when
-# the point lies on it. A sum of tests is a hit when bit 0 (even-odd rule) or any bit
-# from ON_EDGE upwards is set.
-ON_EDGE = 1 << 32
-HIT_MASK = ~(ON_EDGE - 2)
+from parcelgrid.functions.sql import register_sql_functions
+from parcelgrid.types import PARTS_TYPE, POINT
 
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _srid(srid: Column | int) -> Column:
+    return (srid if isinstance(srid, Column) else F.lit(srid)).cast("int")
+
+
+def _call(name: str, *arguments: Column) -> Column:
+    register_sql_functions(SparkSession.active())
+    return F.call_function(name, *arguments)
+
+
 def record(**fields: Column) -> Column:
     """A struct whose names are literals: names given by alias get lost in a lambda."""
     return F.named_struct(*(c for name, value in fields.items() for c in (F.lit(name), value)))
 
 
-def bbox(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    return record(xmin=xmin, ymin=ymin, xmax=xmax, ymax=ymax).cast(BBOX_TYPE)
+def once(value: Column) -> Column:
+    """Evaluate a column once per row, however often later steps refer to it.
+
+    The optimizer copies plain projections into later filters and projections, which
+    multiplies the work of a costly expression. A generator's output is not copied.
+    """
+    return F.explode(F.array(value))
 
 
 def st_point(x: Column | str, y: Column | str, srid: Column | int = 0) -> Column:
@@ -47,28 +56,23 @@ def st_point(x: Column | str, y: Column | str, srid: Column | int = 0) -> Column
 make_point = st_point
 
 
-def st_polygon(parts: Column, srid: Column | int = 0) -> Column:
-    """Polygon or multipolygon from nested vertex arrays; one part gives POLYGON."""
-    vertices = F.flatten(F.flatten(parts))
-    xs = F.transform(vertices, lambda v: v["x"])
-    ys = F.transform(vertices, lambda v: v["y"])
-    polygon = record(
-        srid=_srid(srid),
-        kind=F.when(F.size(parts) > 1, MULTIPOLYGON).otherwise(POLYGON),
-        parts=parts,
-        bbox=bbox(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)),
-    )
-    return F.when(F.size(vertices) > 0, polygon).cast(GEOMETRY_TYPE)
+def st_geomfromtext(wkt: Column | str, srid: Column | int = 0) -> Column:
+    """POINT, POLYGON or MULTIPOLYGON text to geometry.
 
+    NULL and EMPTY give NULL. Malformed text, an unclosed ring or another kind raises. A
+    MULTIPOLYGON of one part is the same value as the POLYGON.
+    """
+    return _call("st_geomfromtext", _column(wkt), _srid(srid))
 
-def _srid(srid: Column | int) -> Column:
-    return (srid if isinstance(srid, Column) else F.lit(srid)).cast("int")
+
+def st_astext(geometry: Column | str) -> Column:
+    """Geometry to WKT, coordinates in Spark's text form of a double."""
+    return _call("st_astext", _column(geometry))
 
 
 def st_setsrid(geometry: Column | str, srid: Column | int) -> Column:
     """Tag a geometry with an SRID. Coordinates are not reprojected."""
-    geom = _column(geometry)
-    return F.when(geom.isNotNull(), geom.withField("srid", _srid(srid)))
+    return _call("geo_setsrid", _column(geometry), _srid(srid))
 
 
 def st_srid(geometry: Column | str, srid: Column | int | None = None) -> Column:
@@ -78,81 +82,9 @@ def st_srid(geometry: Column | str, srid: Column | int | None = None) -> Column:
     return _column(geometry)["srid"]
 
 
-def st_x(geometry: Column | str) -> Column:
-    return _point_only(_column(geometry))["bbox"]["xmin"]
-
-
-def st_y(geometry: Column | str) -> Column:
-    return _point_only(_column(geometry))["bbox"]["ymin"]
-
-
-def _point_only(geom: Column) -> Column:
-    return F.when(
-        geom.isNull() | (geom["kind"] == POINT), geom
-    ).otherwise(F.raise_error(F.lit("a point geometry is needed here")).cast(GEOMETRY_TYPE))
-
-
 def st_distance(a: Column | str, b: Column | str) -> Column:
     """Planar distance of two points."""
-    return F.sqrt(F.pow(st_x(a) - st_x(b), 2) + F.pow(st_y(a) - st_y(b), 2))
-
-
-def ring_edges(ring: Column) -> Column:
-    """Edges of a closed ring, each with its lower (then left) end first.
-
-    Neighbours that share an edge thus test it with the same arithmetic, so a point
-    beside it falls in exactly one of them.
-    """
-
-    def edge(a: Column, b: Column) -> Column:
-        ordered = (a["y"] < b["y"]) | ((a["y"] == b["y"]) & (a["x"] <= b["x"]))
-        low, high = F.when(ordered, a).otherwise(b), F.when(ordered, b).otherwise(a)
-        return record(x1=low["x"], y1=low["y"], x2=high["x"], y2=high["y"])
-
-    count = F.greatest(F.size(ring) - 1, F.lit(0))
-    return F.zip_with(F.slice(ring, F.lit(1), count), F.slice(ring, F.lit(2), count), edge)
-
-
-def polygon_edges(geom: Column) -> Column:
-    """All edges of all rings of a polygon geometry, in one array."""
-    return F.flatten(F.transform(F.flatten(geom["parts"]), ring_edges))
-
-
-def edge_test(x1: Column, y1: Column, x2: Column, y2: Column, x: Column, y: Column) -> Column:
-    """Contribution of one edge (lower end first) to the test of the point (x, y).
-
-    The upper end does not belong to an edge, so a vertex counts once. A horizontal
-    edge never counts as crossed, it can only be touched.
-    """
-    side = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
-    return (
-        F.when((y < y1) | (y > y2), F.lit(0).cast("bigint"))
-        .when(side > 0, F.when(y < y2, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-        .when((side == 0) & ((y1 < y2) | x.between(x1, x2)), F.lit(ON_EDGE).cast("bigint"))
-        .otherwise(F.lit(0).cast("bigint"))
-    )
-
-
-def is_hit(total: Column) -> Column:
-    return total.bitwiseAND(F.lit(HIT_MASK).cast("bigint")) != 0
-
-
-def point_in_polygon(polygon: Column, x: Column, y: Column) -> Column:
-    """Exact even-odd test of one point over every edge; the boundary counts as inside."""
-    box = polygon["bbox"]
-    total = F.aggregate(
-        polygon_edges(polygon),
-        F.lit(0).cast("bigint"),
-        lambda acc, e: acc + edge_test(e["x1"], e["y1"], e["x2"], e["y2"], x, y),
-    )
-    inside_box = x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"])
-    return F.when(inside_box, is_hit(total)).otherwise(F.lit(False))
-
-
-def same_srid(a: Column, b: Column) -> Column:
-    """True, or an error: geometries of different SRIDs must not be compared."""
-    message = F.format_string("SRID mismatch: %d and %d", a, b)
-    return F.when(a == b, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return _call("st_distance", _column(a), _column(b))
 
 
 def st_intersects(a: Column | str, b: Column | str) -> Column:
@@ -162,16 +94,4 @@ def st_intersects(a: Column | str, b: Column | str) -> Column:
     For joins use ``operators.join.spatial_join``, which turns the predicate into an
     equi-join.
     """
-    ga, gb = _column(a), _column(b)
-    xa, ya = ga["bbox"]["xmin"], ga["bbox"]["ymin"]
-    xb, yb = gb["bbox"]["xmin"], gb["bbox"]["ymin"]
-    hit = (
-        F.when((ga["kind"] == POINT) & (gb["kind"] == POINT), (xa == xb) & (ya == yb))
-        .when(gb["kind"] == POINT, point_in_polygon(ga, xb, yb))
-        .when(ga["kind"] == POINT, point_in_polygon(gb, xa, ya))
-        .otherwise(
-            F.raise_error(F.lit("st_intersects of two polygons is not supported")).cast("boolean")
-        )
-    )
-    known = ga.isNotNull() & gb.isNotNull()
-    return F.when(known, F.when(same_srid(ga["srid"], gb["srid"]), hit))
+    return _call("st_intersects", _column(a), _column(b))

@@ -7,133 +7,32 @@ and a SQL function may not replace it.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-
-from parcelgrid.functions import wkt as W
-from parcelgrid.functions.geometry import HIT_MASK, ON_EDGE
-from parcelgrid.types import GEOMETRY_TYPE, PARTS_TYPE, VERTEX_TYPE
-
-_GEOMETRY = GEOMETRY_TYPE.simpleString()
-_PARTS = PARTS_TYPE.simpleString()
-_VERTEX = VERTEX_TYPE.simpleString()
-_RING = f"array<{_VERTEX}>"
-_INFINITY = "double('Infinity')"
-
-_POINT = f"""
-CASE WHEN abs(px) < {_INFINITY} AND abs(py) < {_INFINITY} THEN
-  CAST(named_struct('srid', CAST(0 AS INT), 'kind', 'POINT', 'parts', CAST(NULL AS {_PARTS}),
-    'bbox', named_struct('xmin', px + 0e0, 'ymin', py + 0e0, 'xmax', px + 0e0, 'ymax', py + 0e0))
-    AS {_GEOMETRY}) END
-"""
-
-_VERTEX_OF = f"""
-CASE WHEN t RLIKE r'{W.VERTEX_PATTERN}'
-       AND abs(try_cast(split(trim(t), r'\\s+')[0] AS DOUBLE))
-         + abs(try_cast(split(trim(t), r'\\s+')[1] AS DOUBLE)) < {_INFINITY}
-     THEN named_struct('x', try_cast(split(trim(t), r'\\s+')[0] AS DOUBLE) + 0e0,
-                       'y', try_cast(split(trim(t), r'\\s+')[1] AS DOUBLE) + 0e0)
-     ELSE CAST(raise_error(concat('bad coordinates in WKT: ', left(t, 80))) AS {_VERTEX}) END
-"""
-
-_RING_OF = f"""
-transform(array(transform(split(r, ','), t -> {_VERTEX_OF})), vs ->
-  CASE WHEN size(vs) >= 4 AND vs[0] = element_at(vs, -1) THEN vs
-       ELSE CAST(raise_error(concat('unclosed ring in WKT: ', left(r, 80))) AS {_RING}) END)[0]
-"""
-
-_PARTS_OF = f"""
-transform(
-  CASE WHEN wkt RLIKE r'(?i)^\\s*POLYGON' THEN array(regexp_extract(wkt, r'{W.POLYGON_PATTERN}', 1))
-       ELSE split(regexp_extract(wkt, r'{W.MULTIPOLYGON_PATTERN}', 1), r'{W.BETWEEN_PARTS}') END,
-  body -> transform(split(body, r'{W.BETWEEN_RINGS}'), r -> {_RING_OF}))
-"""
-
-_POLYGON_OF = f"""
-transform(array({_PARTS_OF}), p -> CAST(named_struct(
-  'srid', srid,
-  'kind', CASE WHEN size(p) > 1 THEN 'MULTIPOLYGON' ELSE 'POLYGON' END,
-  'parts', p,
-  'bbox', named_struct(
-    'xmin', array_min(transform(flatten(flatten(p)), v -> v.x)),
-    'ymin', array_min(transform(flatten(flatten(p)), v -> v.y)),
-    'xmax', array_max(transform(flatten(flatten(p)), v -> v.x)),
-    'ymax', array_max(transform(flatten(flatten(p)), v -> v.y)))) AS {_GEOMETRY}))[0]
-"""
+from weakref import WeakSet
 
-_POINT_OF = f"""
-transform(transform(array(regexp_extract(wkt, r'{W.POINT_PATTERN}', 1)), t -> {_VERTEX_OF}),
-  v -> CAST(named_struct('srid', srid, 'kind', 'POINT', 'parts', CAST(NULL AS {_PARTS}),
-    'bbox', named_struct('xmin', v.x, 'ymin', v.y, 'xmax', v.x, 'ymax', v.y)) AS {_GEOMETRY}))[0]
-"""
-
-_FROM_TEXT = f"""
-CASE WHEN wkt IS NULL OR wkt RLIKE r'{W.EMPTY_PATTERN}' THEN CAST(NULL AS {_GEOMETRY})
-     WHEN upper(regexp_extract(wkt, r'{W.KIND_PATTERN}', 1)) = 'POINT' THEN {_POINT_OF}
-     WHEN wkt RLIKE r'{W.KIND_PATTERN}' THEN {_POLYGON_OF}
-     ELSE CAST(raise_error(concat('unsupported WKT: ', left(wkt, 80))) AS {_GEOMETRY}) END
-"""
-
-
-def _hit(polygon: str, point: str) -> str:
-    x, y = f"{point}.bbox.xmin", f"{point}.bbox.ymin"
-    return f"""
-({x} BETWEEN {polygon}.bbox.xmin AND {polygon}.bbox.xmax
- AND {y} BETWEEN {polygon}.bbox.ymin AND {polygon}.bbox.ymax
- AND (aggregate(
-   flatten(transform(flatten({polygon}.parts), r -> zip_with(
-     slice(r, 1, size(r) - 1), slice(r, 2, size(r) - 1),
-     (p, q) -> CASE WHEN p.y < q.y OR (p.y = q.y AND p.x <= q.x)
-                    THEN named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y)
-                    ELSE named_struct('x1', q.x, 'y1', q.y, 'x2', p.x, 'y2', p.y) END))),
-   0L,
-   (total, e) -> total + CASE
-     WHEN {y} < e.y1 OR {y} > e.y2 THEN 0L
-     WHEN (e.x2 - e.x1) * ({y} - e.y1) - ({x} - e.x1) * (e.y2 - e.y1) > 0
-       THEN CASE WHEN {y} < e.y2 THEN 1L ELSE 0L END
-     WHEN (e.x2 - e.x1) * ({y} - e.y1) - ({x} - e.x1) * (e.y2 - e.y1) = 0
-       AND (e.y1 < e.y2 OR {x} BETWEEN e.x1 AND e.x2) THEN {ON_EDGE}L
-     ELSE 0L END) & {HIT_MASK}L) <> 0)
-"""
-
-
-_INTERSECTS = f"""
-CASE WHEN a IS NULL OR b IS NULL THEN NULL
-     WHEN a.srid <> b.srid THEN CAST(raise_error(
-       concat('SRID mismatch: ', a.srid, ' and ', b.srid)) AS BOOLEAN)
-     WHEN a.kind = 'POINT' AND b.kind = 'POINT'
-       THEN a.bbox.xmin = b.bbox.xmin AND a.bbox.ymin = b.bbox.ymin
-     WHEN b.kind = 'POINT' THEN {_hit("a", "b")}
-     WHEN a.kind = 'POINT' THEN {_hit("b", "a")}
-     ELSE CAST(raise_error('st_intersects of two polygons is not supported') AS BOOLEAN) END
-"""
+from pyspark.sql import SparkSession
 
-_DISTANCE = """
-CASE WHEN a IS NULL OR b IS NULL THEN NULL
-     WHEN a.kind = 'POINT' AND b.kind = 'POINT'
-       THEN sqrt(power(a.bbox.xmin - b.bbox.xmin, 2) + power(a.bbox.ymin - b.bbox.ymin, 2))
-     ELSE CAST(raise_error('st_distance needs two points') AS DOUBLE) END
-"""
+from parcelgrid.functions import expressions as X
 
 _FUNCTIONS = [
-    ("st_point", "px DOUBLE, py DOUBLE", _GEOMETRY, _POINT),
-    ("st_geomfromtext", "wkt STRING, srid INT", _GEOMETRY, _FROM_TEXT),
-    ("geo_srid", f"g {_GEOMETRY}", "INT", "g.srid"),
-    (
-        "geo_setsrid",
-        f"g {_GEOMETRY}, srid INT",
-        _GEOMETRY,
-        f"CASE WHEN g IS NOT NULL THEN CAST(named_struct('srid', srid, 'kind', g.kind, "
-        f"'parts', g.parts, 'bbox', g.bbox) AS {_GEOMETRY}) END",
-    ),
-    ("st_intersects", f"a {_GEOMETRY}, b {_GEOMETRY}", "BOOLEAN", _INTERSECTS),
-    ("st_distance", f"a {_GEOMETRY}, b {_GEOMETRY}", "DOUBLE", _DISTANCE),
+    ("st_point", "px DOUBLE, py DOUBLE", X.GEOMETRY, X.MAKE_POINT),
+    ("st_geomfromtext", "wkt STRING, srid INT", X.GEOMETRY, X.FROM_TEXT),
+    ("st_astext", f"g {X.GEOMETRY}", "STRING", X.AS_TEXT),
+    ("geo_srid", f"g {X.GEOMETRY}", "INT", "g.srid"),
+    ("geo_setsrid", f"g {X.GEOMETRY}, srid INT", X.GEOMETRY, X.SET_SRID),
+    ("st_intersects", f"a {X.GEOMETRY}, b {X.GEOMETRY}", "BOOLEAN", X.INTERSECTS),
+    ("st_distance", f"a {X.GEOMETRY}, b {X.GEOMETRY}", "DOUBLE", X.DISTANCE),
 ]
 
+_registered: WeakSet[SparkSession] = WeakSet()
+
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """Register the SQL names in this session. Calling it again changes nothing."""
+    """Register the SQL names in this session; later calls do nothing."""
+    if spark in _registered:
+        return
     for name, arguments, result, body in _FUNCTIONS:
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) "
             f"RETURNS {result} RETURN {body}"
         )
+    _registered.add(spark)

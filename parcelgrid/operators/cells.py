@@ -19,8 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.functions.geometry import edge_test, is_hit, polygon_edges, record
-from parcelgrid.types import POINT
+from parcelgrid.functions import expressions as X
+from parcelgrid.functions.geometry import once
 
 KEY = "__cell"
 EDGES = "__edges"
@@ -69,84 +69,79 @@ class PolygonStats:
         return [level.level + shift for level in self.levels]
 
 
-def _side(level: Column) -> Column:
-    """2 ** level, exactly."""
-    one = F.lit(1).cast("bigint")
-    up = F.call_function("shiftleft", one, F.greatest(level, F.lit(0))).cast("double")
-    down = F.call_function("shiftleft", one, F.greatest(-level, F.lit(0))).cast("double")
-    return up / down
+# 4 to 64 cells across the longer side of the box, by the number of vertices; wide
+# enough for cell numbers to fit the key.
+_LEVEL_OF = f"""
+CASE WHEN g.kind = 'POINT' THEN CAST(raise_error('the polygon side holds a point') AS INT)
+     ELSE CAST({LEVEL_STEP} * ceil(greatest(
+       CASE WHEN greatest(g.bbox.xmax - g.bbox.xmin, g.bbox.ymax - g.bbox.ymin) > 0
+            THEN log2(greatest(g.bbox.xmax - g.bbox.xmin, g.bbox.ymax - g.bbox.ymin)
+              / greatest(4e0, least(64e0, aggregate(flatten(g.parts), 0, (n, r) -> n + size(r)) / 16e0)))
+            ELSE {MIN_LEVEL} END,
+       CASE WHEN greatest(abs(g.bbox.xmin), abs(g.bbox.ymin), abs(g.bbox.xmax), abs(g.bbox.ymax)) > 0
+            THEN ceil(log2(greatest(
+              abs(g.bbox.xmin), abs(g.bbox.ymin), abs(g.bbox.xmax), abs(g.bbox.ymax)))) - {CELL_BITS - 2}
+            ELSE {MIN_LEVEL} END,
+       {MIN_LEVEL}) / {LEVEL_STEP}) AS INT) END
+"""
 
 
-def _level(geom: Column) -> Column:
-    """4 to 64 cells across the longer side of the box, by the number of vertices."""
-    box = geom["bbox"]
-    vertices = F.aggregate(F.flatten(geom["parts"]), F.lit(0), lambda acc, r: acc + F.size(r))
-    across = F.greatest(F.lit(4.0), F.least(F.lit(64.0), vertices / 16.0))
-    extent = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
-    reach = F.greatest(*(F.abs(box[c]) for c in ("xmin", "ymin", "xmax", "ymax")))
-    by_extent = F.when(extent > 0, F.ceil(F.log2(extent / across))).otherwise(MIN_LEVEL)
-    # Cells must be large enough for their numbers to fit the key.
-    by_reach = F.when(reach > 0, F.ceil(F.log2(reach)) - (CELL_BITS - 2)).otherwise(MIN_LEVEL)
-    level = F.greatest(by_extent, by_reach, F.lit(MIN_LEVEL).cast("bigint"))
-    level = (F.ceil(level / LEVEL_STEP) * LEVEL_STEP).cast("int")
-    too_far = F.raise_error(F.lit("polygon coordinates are out of range")).cast("int")
-    return F.when(level + max(SHIFTS) <= MAX_LEVEL, level).otherwise(too_far)
+def _side(level: str) -> str:
+    """2 ** level, exactly."""
+    return f"(shiftleft(1L, greatest({level}, 0)) / shiftleft(1L, greatest(-({level}), 0)))"
 
 
-def _cell(value: Column, side: Column) -> Column:
-    return F.floor(value / side)
+def _span(axis: str, side: str) -> str:
+    return f"sequence(floor(g.bbox.{axis}min / {side}), floor(g.bbox.{axis}max / {side}))"
 
 
-def _cells_passed(edges: Column, side: Column) -> Column:
+def _cells_passed(side: str) -> str:
     """Upper bound of the cells the edges pass, summed over the edges."""
-    return F.aggregate(
-        edges,
-        F.lit(0).cast("bigint"),
-        lambda acc, e: acc
-        + F.abs(_cell(e["x2"], side) - _cell(e["x1"], side))
-        + _cell(e["y2"], side)
-        - _cell(e["y1"], side)
-        + 1,
-    )
+    return f"""
+aggregate({EDGES}, 0L, (n, e) -> n + 1
+  + abs(floor(e.x2 / {side}) - floor(e.x1 / {side})) + floor(e.y2 / {side}) - floor(e.y1 / {side}))
+"""
 
 
-def _polygon_only(geom: Column) -> Column:
-    return F.when(geom["kind"] != POINT, True).otherwise(
-        F.raise_error(F.lit("the polygon side holds a point")).cast("boolean")
-    )
+def _measured(polygons: DataFrame, columns: list) -> DataFrame:
+    """``columns``, the geometry ``g`` and its level, each evaluated once; no NULL shapes."""
+    shapes = polygons.select(*columns, once(F.col("geometry")).alias("g")).where("g IS NOT NULL")
+    return shapes.select("*", once(F.expr(_LEVEL_OF)).alias(LEVEL))
 
 
 def polygon_stats(polygons: DataFrame, payload: list[str]) -> PolygonStats:
     """One pass over the polygon side; at most one small row per level comes back."""
-    geom, box = F.col("geometry"), F.col("geometry.bbox")
     payload_bytes = F.length(F.to_json(F.struct(*payload))) if payload else F.lit(0)
-    measured = (
-        polygons.where(geom.isNotNull() & _polygon_only(geom))
-        .withColumn(LEVEL, _level(geom))
-        .withColumn("__payload", payload_bytes)
-    )
     sums = []
     for shift in SHIFTS:
-        side = _side(F.col(LEVEL) + shift)
-        across = _cell(box["xmax"], side) - _cell(box["xmin"], side) + 1
-        down = _cell(box["ymax"], side) - _cell(box["ymin"], side) + 1
-        passes = _cells_passed(polygon_edges(geom), side)
-        size = across * down * (F.col("__payload") + ROW_BYTES) + passes * EDGE_BYTES
-        sums += [F.sum(across * down).alias(f"cells_{shift}"), F.sum(size).alias(f"bytes_{shift}")]
+        side = _side(f"{LEVEL} + {shift}")
+        cells = (
+            f"(floor(g.bbox.xmax / {side}) - floor(g.bbox.xmin / {side}) + 1)"
+            f" * (floor(g.bbox.ymax / {side}) - floor(g.bbox.ymin / {side}) + 1)"
+        )
+        size = f"{cells} * (__payload + {ROW_BYTES}) + {_cells_passed(side)} * {EDGE_BYTES}"
+        sums += [
+            F.expr(f"sum({cells}) AS cells_{shift}"),
+            F.expr(f"sum({size}) AS bytes_{shift}"),
+        ]
     rows = (
-        measured.groupBy(LEVEL)
+        _measured(polygons, [payload_bytes.alias("__payload")])
+        .select("*", once(F.expr(X.edges("g.parts"))).alias(EDGES))
+        .groupBy(LEVEL)
         .agg(
-            F.count(F.lit(1)).alias("polygons"),
-            F.min("geometry.srid").alias("srid_min"),
-            F.max("geometry.srid").alias("srid_max"),
-            F.min(box["xmin"]).alias("xmin"),
-            F.min(box["ymin"]).alias("ymin"),
-            F.max(box["xmax"]).alias("xmax"),
-            F.max(box["ymax"]).alias("ymax"),
+            F.expr("count(1) AS polygons"),
+            F.expr("min(g.srid) AS srid_min"),
+            F.expr("max(g.srid) AS srid_max"),
+            F.expr("min(g.bbox.xmin) AS xmin"),
+            F.expr("min(g.bbox.ymin) AS ymin"),
+            F.expr("max(g.bbox.xmax) AS xmax"),
+            F.expr("max(g.bbox.ymax) AS ymax"),
             *sums,
         )
         .collect()
     )
+    if any(r[LEVEL] + max(SHIFTS) > MAX_LEVEL for r in rows):
+        raise ValueError("polygon coordinates are out of range")
     srids = {r["srid_min"] for r in rows} | {r["srid_max"] for r in rows}
     if len(srids) > 1:
         raise ValueError(f"polygons of several SRIDs in one join: {sorted(srids)}")
@@ -170,58 +165,79 @@ def polygon_stats(polygons: DataFrame, payload: list[str]) -> PolygonStats:
     return PolygonStats(levels, next(iter(srids), None), box_of_all)
 
 
-def _pack(level: Column, cx: Column, cy: Column) -> Column:
+def _pack(level: str, cx: str, cy: str) -> str:
     return (
-        F.shiftleft((level - MIN_LEVEL).cast("bigint"), 2 * CELL_BITS)
-        .bitwiseOR(F.shiftleft(cx + HALF_RANGE, CELL_BITS))
-        .bitwiseOR(cy + HALF_RANGE)
+        f"(shiftleft(CAST({level} - {MIN_LEVEL} AS BIGINT), {2 * CELL_BITS})"
+        f" | shiftleft({cx} + {HALF_RANGE}L, {CELL_BITS}) | ({cy} + {HALF_RANGE}L))"
     )
 
 
-def point_key(x: Column, y: Column, level: int) -> Column:
+def _point_key(x: str, y: str, level: int) -> str:
     """Cell key of a point at one level; NULL far outside, where no polygon can be."""
-    cells_per_unit = F.lit(2.0**-level)
-    u, v = x * cells_per_unit, y * cells_per_unit
-    near = (F.abs(u) < HALF_RANGE - 1) & (F.abs(v) < HALF_RANGE - 1)
-    return F.when(near, _pack(F.lit(level), F.floor(u), F.floor(v)))
+    per_unit = f"{2.0**-level!r}D"
+    limit = f"{float(HALF_RANGE - 1)!r}D"
+    return (
+        f"CASE WHEN abs({x} * {per_unit}) < {limit} AND abs({y} * {per_unit}) < {limit} THEN "
+        + _pack(str(level), f"floor({x} * {per_unit})", f"floor({y} * {per_unit})")
+        + " END"
+    )
 
 
-def with_point_keys(points: DataFrame, x: Column, y: Column, levels: list[int]) -> DataFrame:
-    """One row per point and level in use, with its cell key."""
-    keys = [point_key(x, y, level) for level in levels]
-    if len(keys) == 1:
-        return points.withColumn(KEY, keys[0])
-    return points.withColumn(KEY, F.explode(F.array(*keys)))
+def point_keys(x: str, y: str, levels: list[int]) -> Column:
+    """Generator of one cell key per level in use."""
+    keys = ", ".join(_point_key(x, y, level) for level in levels)
+    return F.expr(f"explode(array({keys})) AS {KEY}")
 
 
-def box_cells(polygons: DataFrame, shift: int) -> DataFrame:
-    """One row per polygon and cell of its box; geometry kept, nothing clipped."""
-    geom, box, side = F.col("geometry"), F.col("geometry.bbox"), F.col("__side")
+def box_cells(polygons: DataFrame, payload: list[str], shift: int) -> DataFrame:
+    """One row per polygon and cell of its box, with the whole geometry ``g``."""
+    side = _side(f"{LEVEL} + {shift}")
     return (
-        polygons.where(geom.isNotNull())
-        .withColumn(LEVEL, _level(geom) + shift)
-        .withColumn("__side", _side(F.col(LEVEL)))
-        .withColumn("__cy", F.explode(F.sequence(_cell(box["ymin"], side), _cell(box["ymax"], side))))
-        .withColumn("__cx", F.explode(F.sequence(_cell(box["xmin"], side), _cell(box["xmax"], side))))
-        .withColumn(KEY, _pack(F.col(LEVEL), F.col("__cx"), F.col("__cy")))
-        .drop(LEVEL, "__side", "__cx", "__cy")
+        _measured(polygons, payload)
+        .select("*", F.expr(f"explode({_span('y', side)}) AS __cy"))
+        .select("*", F.expr(f"explode({_span('x', side)}) AS __cx"))
+        .select(*payload, "g", F.expr(f"{_pack(f'{LEVEL} + {shift}', '__cx', '__cy')} AS {KEY}"))
     )
 
 
-def _columns_of(e: Column, side: Column, bottom: Column, top: Column) -> tuple[Column, Column]:
-    """First and last cell column an edge may pass in the band, a little padded."""
-    slope = (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
-    left, right = F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])
+# Where an edge runs inside the band, as first and last cell column, a little padded so
+# that rounding never drops a cell.
+_IN_BAND = f"""
+transform(filter({EDGES}, e -> e.y2 >= __bottom AND e.y1 < __top), e ->
+  transform(array(CASE WHEN e.y1 = e.y2 THEN named_struct('a', e.x1, 'b', e.x2)
+    ELSE named_struct(
+      'a', e.x1 + (greatest(e.y1, __bottom) - e.y1) * ((e.x2 - e.x1) / (e.y2 - e.y1)),
+      'b', e.x1 + (least(e.y2, __top) - e.y1) * ((e.x2 - e.x1) / (e.y2 - e.y1))) END),
+    s -> named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2,
+      'c0', floor(greatest(least(s.a, s.b), least(e.x1, e.x2)) / __side
+                  - 1e-6 - abs(e.x1 / __side) * 1e-13),
+      'c1', floor(least(greatest(s.a, s.b), greatest(e.x1, e.x2)) / __side
+                  + 1e-6 + abs(e.x1 / __side) * 1e-13)))[0])
+"""
 
-    def at(y: Column) -> Column:
-        return F.least(F.greatest(e["x1"] + (y - e["y1"]) * slope, left), right)
+# Per cell of the band: edges that may pass it, and the end heights of edges further
+# right, cut to the band; heights that occur twice cancel.
+_CELLS_OF_BAND = """
+explode(transform(sequence(__cx0, __cx1), cx -> named_struct(
+  'cx', cx,
+  'through', filter(__band, e -> e.c0 <= cx AND e.c1 >= cx),
+  'heights', aggregate(
+    array_sort(flatten(transform(filter(__band, e -> e.c0 > cx), e -> array(
+      greatest(least(e.y1, __top), __bottom), greatest(least(e.y2, __top), __bottom))))),
+    CAST(array() AS array<double>),
+    (hs, h) -> CASE WHEN size(hs) > 0 AND get(hs, size(hs) - 1) = h
+                    THEN slice(hs, 1, size(hs) - 1) ELSE concat(hs, array(h)) END)))) AS __c
+"""
 
-    low, high = at(F.greatest(e["y1"], bottom)), at(F.least(e["y2"], top))
-    flat = e["y1"] == e["y2"]
-    first = F.when(flat, left).otherwise(F.least(low, high)) / side
-    last = F.when(flat, right).otherwise(F.greatest(low, high)) / side
-    pad = F.lit(1e-6) + F.abs(first) * F.lit(1e-13)
-    return F.floor(first - pad), F.floor(last + pad)
+# The remaining heights come in pairs: [0, 1), [2, 3), ... are the stretches with an odd
+# number of crossings further right, and become edges on the cell's right border.
+_EDGES_OF_CELL = f"""
+concat(
+  transform(__c.through, e -> named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2)),
+  transform(filter(__c.heights, (h, i) -> i % 2 = 0), (h, i) -> named_struct(
+    'x1', (__c.cx + 1) * __side, 'y1', h,
+    'x2', (__c.cx + 1) * __side, 'y2', get(__c.heights, 2 * i + 1)))) AS {EDGES}
+"""
 
 
 def polygon_cells(polygons: DataFrame, payload: list[str], shift: int, partitions: int) -> DataFrame:
@@ -230,124 +246,65 @@ def polygon_cells(polygons: DataFrame, payload: list[str], shift: int, partition
     Each polygon row is worked on by itself, so equal polygons stay separate rows.
     ``partitions`` > 0 spreads the polygons before the work, for sets read from few files.
     """
-    geom, box = F.col("geometry"), F.col("geometry.bbox")
-    side, bottom, top = F.col("__side"), F.col("__bottom"), F.col("__top")
-    kept = polygons.where(geom.isNotNull()).select(*payload, "geometry")
     if partitions:
-        kept = kept.repartition(partitions)
-
+        polygons = polygons.select(*payload, "geometry").repartition(partitions)
+    side = _side(f"{LEVEL} + {shift}")
     bands = (
-        kept.withColumn(LEVEL, _level(geom) + shift)
-        .withColumn("__side", _side(F.col(LEVEL)))
+        _measured(polygons, payload)
+        .select("*", F.expr(f"{side} AS __side"))
         .select(
             *payload,
             LEVEL,
             "__side",
-            polygon_edges(geom).alias(EDGES),
-            _cell(box["xmin"], side).alias("__cx0"),
-            _cell(box["xmax"], side).alias("__cx1"),
-            F.explode(F.sequence(_cell(box["ymin"], side), _cell(box["ymax"], side))).alias("__cy"),
-        )
-        .withColumn("__bottom", F.col("__cy") * side)
-        .withColumn("__top", (F.col("__cy") + 1) * side)
-    )
-
-    def with_columns(e: Column) -> Column:
-        first, last = _columns_of(e, side, bottom, top)
-        return record(x1=e["x1"], y1=e["y1"], x2=e["x2"], y2=e["y2"], c0=first, c1=last)
-
-    in_band = F.filter(F.col(EDGES), lambda e: (e["y2"] >= bottom) & (e["y1"] < top))
-    bands = bands.withColumn("__band", F.transform(in_band, with_columns)).drop(EDGES)
-
-    def heights_right_of(cx: Column) -> Column:
-        """End heights of edges right of the cell, cut to the band; equal pairs cancel."""
-        ends = F.flatten(
-            F.transform(
-                F.filter(F.col("__band"), lambda e: e["c0"] > cx),
-                lambda e: F.array(
-                    F.greatest(F.least(e["y1"], top), bottom), F.greatest(F.least(e["y2"], top), bottom)
-                ),
-            )
-        )
-        return F.aggregate(
-            F.array_sort(ends),
-            F.array().cast("array<double>"),
-            lambda acc, h: F.when(
-                (F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1) == h),
-                F.slice(acc, F.lit(1), F.size(acc) - 1),
-            ).otherwise(F.concat(acc, F.array(h))),
+            F.expr(f"{X.edges('g.parts')} AS {EDGES}"),
+            F.expr("floor(g.bbox.xmin / __side) AS __cx0"),
+            F.expr("floor(g.bbox.xmax / __side) AS __cx1"),
+            F.expr(f"explode({_span('y', '__side')}) AS __cy"),
         )
-
-    def cell(cx: Column) -> Column:
-        through = F.filter(F.col("__band"), lambda e: (e["c0"] <= cx) & (e["c1"] >= cx))
-        return record(cx=cx, through=through, heights=heights_right_of(cx))
-
-    cells = bands.select(
-        *payload,
-        LEVEL,
-        "__side",
-        "__cy",
-        F.explode(F.transform(F.sequence("__cx0", "__cx1"), cell)).alias("__c"),
-    ).where((F.size("__c.through") > 0) | (F.size("__c.heights") > 0))
-
-    border = (F.col("__c.cx") + 1) * side
-    heights = F.col("__c.heights")
-    # Heights come in pairs: [0, 1), [2, 3), ... are the stretches with an odd number of
-    # crossings further right.
-    stand_ins = F.transform(
-        F.filter(heights, lambda h, i: i % 2 == 0),
-        lambda h, i: record(x1=border, y1=h, x2=border, y2=F.get(heights, 2 * i + 1)),
+        .select("*", F.expr("__cy * __side AS __bottom"), F.expr("(__cy + 1) * __side AS __top"))
     )
-    through = F.transform(
-        F.col("__c.through"), lambda e: record(x1=e["x1"], y1=e["y1"], x2=e["x2"], y2=e["y2"])
+    cells = (
+        bands.select("*", F.expr(f"{_IN_BAND} AS __band"))
+        .select(*payload, LEVEL, "__side", "__cy", F.expr(_CELLS_OF_BAND))
+        .where("size(__c.through) > 0 OR size(__c.heights) > 0")
     )
     return cells.select(
         *payload,
         LEVEL,
-        _pack(F.col(LEVEL), F.col("__c.cx"), F.col("__cy")).alias(KEY),
-        F.concat(through, stand_ins).alias(EDGES),
+        F.expr(f"{_pack(f'{LEVEL} + {shift}', '__c.cx', '__cy')} AS {KEY}"),
+        F.expr(_EDGES_OF_CELL),
     )
 
 
-def _slot(i: int) -> list[str]:
-    return [f"__{name}_{i}" for name in ("x1", "y1", "x2", "y2")]
+_ENDS = ("x1", "y1", "x2", "y2")
 
 
 def with_slots(index: DataFrame) -> DataFrame:
     """Spread the first edges over plain double columns; unused slots can never hit."""
-    nothing = F.lit(float("inf"))
     slots = [
-        F.coalesce(F.get(EDGES, F.lit(i))[name], nothing).alias(column)
+        F.expr(f"coalesce(get({EDGES}, {i}).{end}, {X.INFINITY}) AS __{end}_{i}")
         for i in range(SLOTS)
-        for name, column in zip(("x1", "y1", "x2", "y2"), _slot(i))
+        for end in _ENDS
     ]
-    count = F.size(EDGES)
-    rest = F.when(count > SLOTS, F.slice(EDGES, F.lit(SLOTS + 1), count - SLOTS))
+    rest = f"CASE WHEN size({EDGES}) > {SLOTS} THEN slice({EDGES}, {SLOTS + 1}, size({EDGES})) END"
     kept = [c for c in index.columns if c not in (EDGES, LEVEL)]
-    return index.select(*kept, *slots, rest.alias(REST))
-
-
-def _slot_total(x: Column, y: Column) -> Column:
-    total = None
-    for i in range(SLOTS):
-        x1, y1, x2, y2 = (F.col(name) for name in _slot(i))
-        test = edge_test(x1, y1, x2, y2, x, y)
-        total = test if total is None else total + test
-    return total
+    return index.select(*kept, *slots, F.expr(f"{rest} AS {REST}"))
 
 
-def edges_total(edges: Column, x: Column, y: Column) -> Column:
-    return F.aggregate(
-        edges,
-        F.lit(0).cast("bigint"),
-        lambda acc, e: acc + edge_test(e["x1"], e["y1"], e["x2"], e["y2"], x, y),
+def _slots_total(x: str, y: str) -> str:
+    # Each slot has its own on-edge bit, so the tests combine by XOR, which needs no
+    # overflow check: the generated method stays small enough for the JIT compiler.
+    tests = (
+        X.edge_test(*(f"__{end}_{i}" for end in _ENDS), x, y, X.ON_EDGE << i) for i in range(SLOTS)
     )
+    return f"({' ^ '.join(tests)})"
 
 
-def slots_may_hit(x: Column, y: Column) -> Column:
+def slots_may_hit(x: str, y: str) -> Column:
     """Exact where no edges are left over, else "look again"."""
-    return F.col(REST).isNotNull() | is_hit(_slot_total(x, y))
+    return F.expr(f"{REST} IS NOT NULL OR {X.is_hit(_slots_total(x, y))}")
 
 
-def slots_hit(x: Column, y: Column) -> Column:
-    return F.col(REST).isNull() | is_hit(_slot_total(x, y) + edges_total(F.col(REST), x, y))
+def slots_hit(x: str, y: str) -> Column:
+    total = f"{_slots_total(x, y)} + {X.edges_total(REST, x, y)}"
+    return F.expr(f"{REST} IS NULL OR {X.is_hit(total)}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelgrid.functions.geometry import once
 from parcelgrid.operators.join import X, Y, located, match_pairs, plan_join
 
 _K1, _K2 = "__k1", "__k2"
@@ -30,10 +31,15 @@ def count_points_per_polygon(
     """
     row = F.to_json(F.struct(*polygon_cols, "geometry"))
     keyed = (
-        polygons.where(F.col("geometry").isNotNull())
-        .select(*polygon_cols, "geometry")
-        .withColumn(_K1, F.xxhash64(F.lit(1), row))
-        .withColumn(_K2, F.xxhash64(F.lit(2), row))
+        polygons.select(*polygon_cols, once(F.col("geometry")).alias("geometry"))
+        .where("geometry IS NOT NULL")
+        .select("*", once(row).alias("__row"))
+        .select(
+            *polygon_cols,
+            "geometry",
+            F.expr(f"xxhash64(1, __row) AS {_K1}"),
+            F.expr(f"xxhash64(2, __row) AS {_K2}"),
+        )
     )
     plan = plan_join(points, polygons, [], broadcast)
     group = [_K1, _K2]
@@ -42,14 +48,14 @@ def count_points_per_polygon(
     elif plan.strategy == "shuffle":
         # Points at one spot travel as one row with their number.
         spots = (
-            located(points, plan.stats, [F.col(id_col).alias(_ID)])
+            located(points, plan.stats.srid, [F.col(id_col).alias(_ID)])
             .groupBy(X, Y)
             .agg(F.count(_ID).alias(_ID))
         )
         pairs = match_pairs(spots, keyed, group, plan)
         counts = pairs.groupBy(*group).agg(F.sum(_ID).alias(count_col))
     else:
-        spots = located(points, plan.stats, [F.col(id_col).alias(_ID)])
+        spots = located(points, plan.stats.srid, [F.col(id_col).alias(_ID)])
         pairs = match_pairs(spots, keyed, group, plan)
         counts = pairs.groupBy(*group).agg(F.count(_ID).alias(count_col))
     return (

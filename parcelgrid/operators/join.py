@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.functions.geometry import point_in_polygon
+from parcelgrid.functions import expressions as E
+from parcelgrid.functions.geometry import once, record
 from parcelgrid.operators import cells as C
 from parcelgrid.operators.skew import salted_join
-from parcelgrid.types import POINT
 
 X, Y = "__x", "__y"
 
@@ -59,30 +59,31 @@ def plan_join(
     return JoinPlan("shuffle", 2, stats)
 
 
-def located(points: DataFrame, stats: C.PolygonStats, keep: list[Column]) -> DataFrame:
-    """Points with coordinates that may match, as ``keep`` plus x and y.
+def located(points: DataFrame, srid: int, keep: list[Column]) -> DataFrame:
+    """Points that have coordinates, as ``keep`` plus x and y.
 
-    The box test reaches the file scan. A point of another SRID passes it and then
-    raises, so a wrong SRID never looks like an empty result.
+    A point of another SRID raises, so that it never looks like an empty result.
     """
-    geom, box = F.col("geometry"), F.col("geometry.bbox")
-    wrong = geom["srid"] != stats.srid
-    near = box["xmin"].between(stats.box[0], stats.box[2]) & box["ymin"].between(
-        stats.box[1], stats.box[3]
-    )
-    return points.where(geom.isNotNull() & (wrong | near)).select(
-        *keep, checked(geom, stats.srid, box["xmin"]).alias(X), box["ymin"].alias(Y)
+    spot = record(x=F.expr(checked(srid, "geometry.bbox.xmin")), y=F.expr("geometry.bbox.ymin"))
+    return (
+        points.select(*keep, "geometry")
+        .select(*(F.col(c) for c in _names(points, keep)), once(spot).alias("__spot"))
+        .select(*_names(points, keep), F.expr(f"__spot.x AS {X}"), F.expr(f"__spot.y AS {Y}"))
+        .where(f"{X} IS NOT NULL AND {Y} IS NOT NULL")
     )
 
 
-def checked(geom: Column, srid: int, value: Column) -> Column:
+def _names(points: DataFrame, keep: list[Column]) -> list[str]:
+    return points.select(*keep).columns
+
+
+def checked(srid: int, value: str) -> str:
     """``value`` for a point of the polygons' SRID; any other geometry raises."""
-    mismatch = F.raise_error(F.concat(F.lit(f"SRID mismatch: polygons have {srid}, a point has "), geom["srid"]))
-    no_point = F.raise_error(F.lit("the point side holds a polygon"))
     return (
-        F.when(geom["srid"] != srid, mismatch.cast("double"))
-        .when(geom["kind"] != POINT, no_point.cast("double"))
-        .otherwise(value)
+        f"CASE WHEN geometry.srid <> {srid} THEN CAST(raise_error(concat("
+        f"'SRID mismatch: polygons have {srid}, a point has ', geometry.srid)) AS DOUBLE) "
+        f"WHEN geometry.kind <> 'POINT' THEN CAST(raise_error("
+        f"'the point side holds a polygon') AS DOUBLE) ELSE {value} END"
     )
 
 
@@ -104,22 +105,16 @@ def match_pairs(
     spots: DataFrame, polygons: DataFrame, payload: list[str], plan: JoinPlan
 ) -> DataFrame:
     """Rows of ``spots`` (any columns plus x and y) with the ``payload`` of each polygon hit."""
-    x, y = F.col(X), F.col(Y)
-    probes = C.with_point_keys(spots, x, y, plan.levels).where(F.col(C.KEY).isNotNull())
-    kept = [c for c in spots.columns] + payload
+    probes = spots.select("*", C.point_keys(X, Y, plan.levels)).where(f"{C.KEY} IS NOT NULL")
+    kept = [*spots.columns, *payload]
 
     if plan.strategy == "broadcast_points":
-        candidates = C.box_cells(polygons.select(*payload, "geometry"), plan.shift)
-        box = F.col("geometry.bbox")
-        in_box = x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"])
-        return (
-            candidates.join(F.broadcast(probes), C.KEY)
-            .where(in_box & point_in_polygon(F.col("geometry"), x, y))
-            .select(*kept)
-        )
+        candidates = C.box_cells(polygons, payload, plan.shift)
+        pairs = candidates.join(F.broadcast(probes), C.KEY)
+        return pairs.where(E.polygon_hit("g", X, Y)).select(*kept)
 
     index = C.with_slots(indexed(polygons, payload, plan))
-    may_hit, hit = C.slots_may_hit(x, y), C.slots_hit(x, y)
+    may_hit, hit = C.slots_may_hit(X, Y), C.slots_hit(X, Y)
     if plan.strategy == "broadcast_polygons":
         met = probes.join(F.broadcast(index), C.KEY).where(may_hit)
     else:
@@ -151,7 +146,7 @@ def spatial_join(
     if not plan.stats.levels:
         empty = points.select(*keep, F.lit(0.0).alias(X), F.lit(0.0).alias(Y))
         return _no_pairs(empty, polygons, payload)
-    spots = located(points, plan.stats, [F.col(c) for c in keep])
+    spots = located(points, plan.stats.srid, [F.col(c) for c in keep])
     return match_pairs(spots, polygons, payload, plan).drop(X, Y)
 
 
