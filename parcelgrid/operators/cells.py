@@ -172,7 +172,7 @@ def _pack(level: str, cx: str, cy: str) -> str:
     )
 
 
-def _point_key(x: str, y: str, level: int) -> str:
+def point_key(x: str, y: str, level: int) -> str:
     """Cell key of a point at one level; NULL far outside, where no polygon can be."""
     per_unit = f"{2.0**-level!r}D"
     limit = f"{float(HALF_RANGE - 1)!r}D"
@@ -185,7 +185,7 @@ def _point_key(x: str, y: str, level: int) -> str:
 
 def point_keys(x: str, y: str, levels: list[int]) -> Column:
     """Generator of one cell key per level in use."""
-    keys = ", ".join(_point_key(x, y, level) for level in levels)
+    keys = ", ".join(point_key(x, y, level) for level in levels)
     return F.expr(f"explode(array({keys})) AS {KEY}")
 
 
