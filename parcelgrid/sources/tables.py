@@ -41,7 +41,9 @@ def read_points_table(
 def tracts_from_wkt(df: DataFrame, wkt_col: str = "wkt", srid: int = WGS84) -> DataFrame:
     """Add ``geometry`` from a WKT column, parsed once per row."""
     kept = [c for c in df.columns if c != "geometry"]
-    return df.select(*kept, once(st_geomfromtext(F.col(wkt_col), srid)).alias("geometry"))
+    # A SQL function may not stand inside a generator, hence two steps.
+    parsed = df.select(*kept, st_geomfromtext(F.col(wkt_col), srid).alias("__parsed"))
+    return parsed.select(*kept, once(F.col("__parsed")).alias("geometry"))
 
 
 def read_tracts_wkt(spark: SparkSession, path: str, srid: int = WGS84) -> DataFrame:
