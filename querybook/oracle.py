@@ -70,12 +70,15 @@ _COUNTS = f"SELECT n_nationkey, n_name, count(call_num) AS roadcall_count FROM (
 _SHAPE_PAIRS = f"""
 SELECT s.s_suppkey, s.form, c.l_orderkey FROM ({I.SHAPES}) s JOIN ({I.CALLS}) c ON {I.IN_SHAPE}
 """
-# The parcel of lowest id at each prospect with usable coordinates.
+# The parcel of lowest id at each prospect. The outer join is on equality: with ranges and
+# a condition on the left side in its ON clause, the checking engine lost left rows.
 _FOUND = f"""
-SELECT p.point_id, p.lat, p.lon, min(q.parcel_id) AS parcel_id
-FROM ({I.PROSPECTS}) p LEFT JOIN ({I.PARCELS}) q
-  ON p.lat <= 90 AND p.lon BETWEEN q.x0 AND q.x0 + q.side AND p.lat BETWEEN q.y0 AND q.y0 + q.side
-GROUP BY ALL
+SELECT p.point_id, p.lat, p.lon, m.parcel_id
+FROM ({I.PROSPECTS}) p LEFT JOIN (
+  SELECT p.point_id, min(q.parcel_id) AS parcel_id
+  FROM ({I.PROSPECTS}) p JOIN ({I.PARCELS}) q
+    ON p.lon BETWEEN q.x0 AND q.x0 + q.side AND p.lat BETWEEN q.y0 AND q.y0 + q.side
+  GROUP BY p.point_id) m ON m.point_id = p.point_id
 """
 
 
@@ -106,7 +109,7 @@ LEFT JOIN ({_graded(f"({I.PARCELS})", "parcel_id", _ATTRS)}) g ON g.parcel_id =
 
 _LOOKUP = f"""
 SELECT f.point_id, f.parcel_id, q.owner, f.parcel_id IS NOT NULL AS parcel_matched
-FROM ({_FOUND.replace("p.lat <= 90 AND", "")}) f LEFT JOIN ({I.PARCELS}) q ON q.parcel_id = f.parcel_id
+FROM ({_FOUND}) f LEFT JOIN ({I.PARCELS}) q ON q.parcel_id = f.parcel_id
 """
 
 

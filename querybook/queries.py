@@ -15,7 +15,6 @@ from parcelgrid.functions import (
     st_geomfromtext,
     st_intersects,
     st_point,
-    st_setsrid,
     st_srid,
 )
 from parcelgrid.operators import (
@@ -369,7 +368,7 @@ def limit_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "enriched-csv")
     write_csv(enrich_output(spark, sf_dir), path)
-    return spark.read.csv(path, header=True)
+    return spark.read.csv(path, header=True, escape='"')
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
