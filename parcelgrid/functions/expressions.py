@@ -15,17 +15,16 @@ VERTEX = VERTEX_TYPE.simpleString()
 RING = f"array<{VERTEX}>"
 INFINITY = "double('Infinity')"
 
-# Patterns of well-known text. Bodies are taken out first and then split, so that no
-# pattern repeats over vertices.
-KIND_PATTERN = r"(?is)^\s*(POINT|POLYGON|MULTIPOLYGON)\b"
-EMPTY_PATTERN = r"(?is)^\s*(POINT|POLYGON|MULTIPOLYGON)\s+EMPTY\s*$"
-POINT_PATTERN = r"(?is)^\s*POINT\s*\((.*)\)\s*$"
-POLYGON_PATTERN = r"(?is)^\s*POLYGON\s*\(\s*\((.*)\)\s*\)\s*$"
-MULTIPOLYGON_PATTERN = r"(?is)^\s*MULTIPOLYGON\s*\(\s*\(\s*\((.*)\)\s*\)\s*\)\s*$"
-BETWEEN_PARTS = r"\)\s*\)\s*,\s*\(\s*\("
-BETWEEN_RINGS = r"\)\s*,\s*\("
+# Patterns of well-known text. White space is cut down first, then bodies are taken out
+# and split at plain strings: no pattern repeats over vertices.
+KIND_PATTERN = r"(?i)^(POINT|POLYGON|MULTIPOLYGON)(\(| EMPTY$)"
+POINT_PATTERN = r"(?i)^POINT\((.*)\)$"
+POLYGON_PATTERN = r"(?i)^POLYGON\(\((.*)\)\)$"
+MULTIPOLYGON_PATTERN = r"(?i)^MULTIPOLYGON\(\(\((.*)\)\)\)$"
+BETWEEN_PARTS = r"\)\),\(\("
+BETWEEN_RINGS = r"\),\("
 # Keeps out what a cast would take: NaN, Infinity, type suffixes.
-VERTEX_PATTERN = r"^\s*[-+0-9.eE]+\s+[-+0-9.eE]+\s*$"
+VERTEX_PATTERN = r"^[-+0-9.eE]+ [-+0-9.eE]+$"
 
 # An edge test gives 1 when the edge lies to the right of the point, and ON_EDGE when
 # the point lies on it. A sum of tests is a hit when bit 0 (even-odd rule) or any bit
@@ -57,7 +56,7 @@ def polygon(parts: str, srid: str) -> str:
 
 
 _VERTEX_OF = f"""
-transform(array(try_cast(split(trim(t), r'\\s+') AS array<double>)), w ->
+transform(array(try_cast(split(t, ' ') AS array<double>)), w ->
   CASE WHEN t RLIKE r'{VERTEX_PATTERN}' AND abs(w[0]) + abs(w[1]) < {INFINITY}
        THEN named_struct('x', w[0] + 0e0, 'y', w[1] + 0e0)
        ELSE CAST(raise_error(concat('bad coordinates in WKT: ', left(t, 80))) AS {VERTEX}) END)[0]
@@ -71,20 +70,27 @@ transform(array(transform(split(r, ','), t -> {_VERTEX_OF})), vs ->
 
 _PARTS_OF = f"""
 transform(
-  CASE WHEN wkt RLIKE r'(?i)^\\s*POLYGON' THEN array(regexp_extract(wkt, r'{POLYGON_PATTERN}', 1))
-       ELSE split(regexp_extract(wkt, r'{MULTIPOLYGON_PATTERN}', 1), r'{BETWEEN_PARTS}') END,
+  CASE WHEN s.kind = 'POLYGON' THEN array(regexp_extract(s.n, r'{POLYGON_PATTERN}', 1))
+       ELSE split(regexp_extract(s.n, r'{MULTIPOLYGON_PATTERN}', 1), r'{BETWEEN_PARTS}') END,
   body -> transform(split(body, r'{BETWEEN_RINGS}'), r -> {_RING_OF}))
 """
 
+# One space between numbers, none beside brackets and commas.
+_NORMAL = r"""
+trim(regexp_replace(regexp_replace(wkt, r'\s+', ' '), r' ?([(),]) ?', '$1'))
+"""
+
 FROM_TEXT = f"""
-CASE WHEN wkt IS NULL OR wkt RLIKE r'{EMPTY_PATTERN}' THEN CAST(NULL AS {GEOMETRY})
-     WHEN upper(regexp_extract(wkt, r'{KIND_PATTERN}', 1)) = 'POINT'
-       THEN transform(
-         transform(array(regexp_extract(wkt, r'{POINT_PATTERN}', 1)), t -> {_VERTEX_OF}),
+transform(transform(array({_NORMAL}), n -> named_struct(
+    'n', n, 'kind', upper(regexp_extract(n, r'{KIND_PATTERN}', 1)))), s ->
+  CASE WHEN s.n IS NULL OR (s.kind <> '' AND s.n NOT LIKE '%(%') THEN CAST(NULL AS {GEOMETRY})
+       WHEN s.kind = 'POINT' THEN transform(
+         transform(array(regexp_extract(s.n, r'{POINT_PATTERN}', 1)), t -> {_VERTEX_OF}),
          v -> CAST({point("v.x", "v.y", "srid")} AS {GEOMETRY}))[0]
-     WHEN wkt RLIKE r'{KIND_PATTERN}'
-       THEN transform(array({_PARTS_OF}), p -> {polygon("p", "srid")})[0]
-     ELSE CAST(raise_error(concat('unsupported WKT: ', left(wkt, 80))) AS {GEOMETRY}) END
+       WHEN s.kind <> '' THEN transform(
+         array({_PARTS_OF}),
+         p -> {polygon("p", "srid")})[0]
+       ELSE CAST(raise_error(concat('unsupported WKT: ', left(s.n, 80))) AS {GEOMETRY}) END)[0]
 """
 
 _RING_TEXT = (

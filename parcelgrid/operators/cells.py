@@ -57,7 +57,6 @@ class LevelStats:
 class PolygonStats:
     levels: list[LevelStats]
     srid: int | None
-    box: tuple[float, float, float, float] | None
 
     def index_bytes(self, shift: int) -> int:
         return sum(level.bytes[shift] for level in self.levels)
@@ -76,7 +75,7 @@ CASE WHEN g.kind = 'POINT' THEN CAST(raise_error('the polygon side holds a point
      ELSE CAST({LEVEL_STEP} * ceil(greatest(
        CASE WHEN greatest(g.bbox.xmax - g.bbox.xmin, g.bbox.ymax - g.bbox.ymin) > 0
             THEN log2(greatest(g.bbox.xmax - g.bbox.xmin, g.bbox.ymax - g.bbox.ymin)
-              / greatest(4e0, least(64e0, aggregate(flatten(g.parts), 0, (n, r) -> n + size(r)) / 16e0)))
+              / greatest(4e0, least(64e0, aggregate(flatten(g.parts), 0, (n, r) -> n + size(r)) / 10e0)))
             ELSE {MIN_LEVEL} END,
        CASE WHEN greatest(abs(g.bbox.xmin), abs(g.bbox.ymin), abs(g.bbox.xmax), abs(g.bbox.ymax)) > 0
             THEN ceil(log2(greatest(
@@ -116,26 +115,31 @@ def polygon_stats(polygons: DataFrame, payload: list[str]) -> PolygonStats:
     for shift in SHIFTS:
         side = _side(f"{LEVEL} + {shift}")
         cells = (
-            f"(floor(g.bbox.xmax / {side}) - floor(g.bbox.xmin / {side}) + 1)"
-            f" * (floor(g.bbox.ymax / {side}) - floor(g.bbox.ymin / {side}) + 1)"
+            f"(floor(xmax / {side}) - floor(xmin / {side}) + 1)"
+            f" * (floor(ymax / {side}) - floor(ymin / {side}) + 1)"
         )
-        size = f"{cells} * (__payload + {ROW_BYTES}) + {_cells_passed(side)} * {EDGE_BYTES}"
+        # Coarser cells are passed less often, so the count of shift 0 bounds the others.
+        size = f"{cells} * (__payload + {ROW_BYTES}) + __passed * {EDGE_BYTES}"
         sums += [
             F.expr(f"sum({cells}) AS cells_{shift}"),
             F.expr(f"sum({size}) AS bytes_{shift}"),
         ]
+    box = ("xmin", "ymin", "xmax", "ymax")
     rows = (
         _measured(polygons, [payload_bytes.alias("__payload")])
-        .select("*", once(F.expr(X.edges("g.parts"))).alias(EDGES))
+        .select(
+            "__payload",
+            LEVEL,
+            F.expr("g.srid AS srid"),
+            *(F.expr(f"g.bbox.{name} AS {name}") for name in box),
+            F.expr(f"{X.edges('g.parts')} AS {EDGES}"),
+        )
+        .select("*", F.expr(f"{_cells_passed(_side(LEVEL))} AS __passed"))
         .groupBy(LEVEL)
         .agg(
             F.expr("count(1) AS polygons"),
-            F.expr("min(g.srid) AS srid_min"),
-            F.expr("max(g.srid) AS srid_max"),
-            F.expr("min(g.bbox.xmin) AS xmin"),
-            F.expr("min(g.bbox.ymin) AS ymin"),
-            F.expr("max(g.bbox.xmax) AS xmax"),
-            F.expr("max(g.bbox.ymax) AS ymax"),
+            F.expr("min(srid) AS srid_min"),
+            F.expr("max(srid) AS srid_max"),
             *sums,
         )
         .collect()
@@ -154,15 +158,7 @@ def polygon_stats(polygons: DataFrame, payload: list[str]) -> PolygonStats:
         )
         for r in sorted(rows, key=lambda r: r[LEVEL])
     ]
-    box_of_all = None
-    if rows:
-        box_of_all = (
-            min(r["xmin"] for r in rows),
-            min(r["ymin"] for r in rows),
-            max(r["xmax"] for r in rows),
-            max(r["ymax"] for r in rows),
-        )
-    return PolygonStats(levels, next(iter(srids), None), box_of_all)
+    return PolygonStats(levels, next(iter(srids), None))
 
 
 def _pack(level: str, cx: str, cy: str) -> str:

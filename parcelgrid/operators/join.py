@@ -17,6 +17,8 @@ X, Y = "__x", "__y"
 BROADCAST_LIMIT_CONF = "spark.parcelgrid.broadcastLimit"
 # Spread polygons over tasks before indexing when at least this many cells come out.
 SPREAD_FROM_CELLS = 20_000
+# Cells per polygon to aim for where the index is shuffled.
+SHUFFLED_CELLS = 8
 
 
 @dataclass(frozen=True)
@@ -55,8 +57,10 @@ def plan_join(
         row_limit = limit // (C.ROW_BYTES * max(1, len(stats.levels)))
         if points.select(F.lit(1)).limit(row_limit + 1).count() <= row_limit:
             return JoinPlan("broadcast_points", 2, stats)
-    # Two levels coarser: a simple polygon then falls into one to four cells.
-    return JoinPlan("shuffle", 2, stats)
+    # The finest cells that do not repeat polygons too often in the shuffle.
+    polygons = sum(level.polygons for level in stats.levels)
+    few = (s for s in C.SHIFTS if stats.index_cells(s) <= SHUFFLED_CELLS * polygons)
+    return JoinPlan("shuffle", next(few, C.SHIFTS[-1]), stats)
 
 
 def located(points: DataFrame, srid: int, keep: list[Column]) -> DataFrame:
