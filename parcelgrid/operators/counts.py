@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from parcelgrid.functions.geometry import once
 from parcelgrid.operators.join import X, Y, located, match_pairs, plan_join
+from parcelgrid.operators.keys import ROW_KEY, with_row_key
 
-_K1, _K2 = "__k1", "__k2"
 _ID = "__id"
+_COPIES = "__copies"
 
 
 def count_points_per_polygon(
@@ -27,41 +28,29 @@ def count_points_per_polygon(
     one group in which each point counts once per row.
 
     Polygon attributes and shapes are not shuffled with the points: the count is grouped
-    on a 128-bit hash of the row, and attached afterwards.
+    on a hash of the row, and attached afterwards. Equal polygon rows are joined once.
     """
-    row = F.to_json(F.struct(*polygon_cols, "geometry"))
-    keyed = (
-        polygons.select(*polygon_cols, once(F.col("geometry")).alias("geometry"))
-        .where("geometry IS NOT NULL")
-        .select("*", once(row).alias("__row"))
-        .select(
-            *polygon_cols,
-            "geometry",
-            F.expr(f"xxhash64(1, __row) AS {_K1}"),
-            F.expr(f"xxhash64(2, __row) AS {_K2}"),
-        )
+    columns = [*polygon_cols, "geometry"]
+    shapes = polygons.select(*polygon_cols, once(F.col("geometry")).alias("geometry"))
+    distinct = (
+        with_row_key(shapes.where("geometry IS NOT NULL"), columns)
+        .groupBy(*ROW_KEY)
+        .agg(*(F.first(c).alias(c) for c in columns), F.count(F.lit(1)).alias(_COPIES))
     )
     plan = plan_join(points, polygons, [], broadcast)
-    group = [_K1, _K2]
     if not plan.stats.levels:
-        counts = keyed.limit(0).select(*group, F.lit(0).cast("bigint").alias(count_col))
-    elif plan.strategy == "shuffle":
-        # Points at one spot travel as one row with their number.
-        spots = (
-            located(points, plan.stats.srid, [F.col(id_col).alias(_ID)])
-            .groupBy(X, Y)
-            .agg(F.count(_ID).alias(_ID))
-        )
-        pairs = match_pairs(spots, keyed, group, plan)
-        counts = pairs.groupBy(*group).agg(F.sum(_ID).alias(count_col))
+        counts = distinct.limit(0).select(*ROW_KEY, F.lit(0).cast("bigint").alias(count_col))
     else:
         spots = located(points, plan.stats.srid, [F.col(id_col).alias(_ID)])
-        pairs = match_pairs(spots, keyed, group, plan)
-        counts = pairs.groupBy(*group).agg(F.count(_ID).alias(count_col))
-    return (
-        keyed.dropDuplicates(group)
-        .join(counts, group)
-        .select(*polygon_cols, count_col, "geometry")
+        total = F.count(_ID)
+        if plan.strategy == "shuffle":
+            # Points at one spot travel as one row with their number.
+            spots = spots.groupBy(X, Y).agg(F.count(_ID).alias(_ID))
+            total = F.sum(_ID)
+        pairs = match_pairs(spots, distinct, ROW_KEY, plan)
+        counts = pairs.groupBy(*ROW_KEY).agg(total.alias(count_col))
+    return distinct.join(counts, ROW_KEY).select(
+        *polygon_cols, (F.col(count_col) * F.col(_COPIES)).alias(count_col), "geometry"
     )
 
 

@@ -55,7 +55,8 @@ def plan_join(
             if stats.index_bytes(shift) <= limit:
                 return JoinPlan("broadcast_polygons", shift, stats)
         row_limit = limit // (C.ROW_BYTES * max(1, len(stats.levels)))
-        if points.select(F.lit(1)).limit(row_limit + 1).count() <= row_limit:
+        # Reads partitions only until there are too many rows.
+        if not points.select(F.lit(1)).offset(row_limit).take(1):
             return JoinPlan("broadcast_points", 2, stats)
     # The finest cells that do not repeat polygons too often in the shuffle.
     polygons = sum(level.polygons for level in stats.levels)

@@ -9,6 +9,7 @@ from parcelgrid.functions import expressions as E
 from parcelgrid.functions.geometry import once, record
 from parcelgrid.operators import cells as C
 from parcelgrid.operators.join import X, Y, JoinPlan, checked, indexed, match_pairs, plan_join
+from parcelgrid.operators.keys import ROW_KEY, with_row_key
 from parcelgrid.operators.skew import salted_join
 
 MATCHED = "parcel_matched"
@@ -39,6 +40,7 @@ def spatial_lookup(
         nothing = [F.lit(None).cast(parcels.schema[a].dataType).alias(a) for a in attrs]
         return points.select("*", *nothing, F.lit(False).alias(MATCHED))
 
+    shapes = _lowest_per_shape(parcels, payload)
     spot = record(
         x=F.expr(checked(plan.stats.srid, "geometry.bbox.xmin")), y=F.expr("geometry.bbox.ymin")
     )
@@ -46,9 +48,9 @@ def spatial_lookup(
         *points.columns, F.expr(f"{_SPOT}.x AS {X}"), F.expr(f"{_SPOT}.y AS {Y}")
     )
     if plan.strategy == "broadcast_polygons":
-        found = _probe_cells(spots, parcels, payload, plan)
+        found = _probe_cells(spots, shapes, payload, plan)
     else:
-        found = _by_spot(spots, parcels, payload, plan)
+        found = _by_spot(spots, shapes, payload, plan)
     return found.select(
         *points.columns,
         *(F.col(f"{_BEST}.{name}").alias(name) for name in attrs),
@@ -56,6 +58,17 @@ def spatial_lookup(
     )
 
 
+def _lowest_per_shape(parcels: DataFrame, payload: list[str]) -> DataFrame:
+    """Of parcels with equal shapes only the lowest id can be the answer: keep that one."""
+    shapes = parcels.select(*payload, once(F.col("geometry")).alias("geometry"))
+    return (
+        with_row_key(shapes.where("geometry IS NOT NULL"), ["geometry"])
+        .groupBy(*ROW_KEY)
+        .agg(F.min(F.struct(*payload)).alias(_BEST), F.first("geometry").alias("geometry"))
+        .select(f"{_BEST}.*", "geometry")
+    )
+
+
 def _probe_cells(
     spots: DataFrame, parcels: DataFrame, payload: list[str], plan: JoinPlan
 ) -> DataFrame:
