@@ -1,4 +1,4 @@
-"""Python data source ``shapefile``: ESRI shapefiles as a table with a geometry column.
+"""Python data source ``shapefile``: shapefiles as a table with a geometry column.
 
 One input partition per range of records. The driver reads only the headers; a task
 reads its slice of the ``.shx`` index and then the matching bytes of ``.shp`` and
