@@ -4,20 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelgrid.llm import exact_dedup, simhash
+from parcelgrid.llm import exact_dedup, line_dedup, pii, secrets, simhash, url_filters
 from parcelgrid.llm.common import read
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without passages of lines that stand elsewhere before."""
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies: fingerprints of 3-word shingles within 2 bits."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), 3, 2)
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every url under the rules of the contract."""
+    rules = spark.createDataFrame(url_filters.RULES, "host string, path string, verdict string")
+    return url_filters.judge_urls(read(spark, sf_dir, "pages", "page_id", "url"), rules)
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data per document."""
+    return pii.find_pii(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets per document, told apart by who holds them; sources are the owners."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    return secrets.scan_secrets(docs)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of texts that are equal but for white space."""
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op10_exact_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_line_dedup,
+        op2_simhash_near_dedup,
+        op4_url_filters,
+        op8_pii,
+        op9_secret_scans,
+        op10_exact_dedup,
+    )
+}
 
-ORACLES = {"op10_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op4_url_filters": url_filters.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
