@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelgrid.llm import exact_dedup, line_dedup, pii, secrets, simhash, url_filters
-from parcelgrid.llm.common import read
+from parcelgrid.llm import (
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    packing,
+    pii,
+    secrets,
+    simhash,
+    toxicity,
+    url_filters,
+)
+from parcelgrid.llm.common import read, remainder_of_id
+
+TOXIC = 0.7  # documents with this score or more are judged toxic
+TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,12 +33,43 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), 3, 2)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learnt from two thirds of the labels."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    scored = toxicity.with_scores(docs, read(spark, sf_dir, "labels"), remainder_of_id(3) != 1)
+    return scored.select(
+        "doc_id",
+        (remainder_of_id(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every url under the rules of the contract."""
     rules = spark.createDataFrame(url_filters.RULES, "host string, path string, verdict string")
     return url_filters.judge_urls(read(spark, sf_dir, "pages", "page_id", "url"), rules)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in token sequences of fixed length."""
+    path = public_tokenizers.path(TOKENIZER)
+    return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"), path)
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in each document."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.with_leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.size("leaks").cast("bigint").alias("n_items"),
+        "leaks",
+    )
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data per document."""
     return pii.find_pii(read(spark, sf_dir, "documents", "doc_id", "text"))
@@ -45,7 +91,10 @@ QUERIES = {
     for f in (
         op1_line_dedup,
         op2_simhash_near_dedup,
+        op3_toxicity,
         op4_url_filters,
+        op5_packing,
+        op7_benchmark_decontamination,
         op8_pii,
         op9_secret_scans,
         op10_exact_dedup,

@@ -225,7 +225,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, size: int = SAMP
     return {"index": vars(examples), "base": base, "knots": knots}
 
 
-def with_scores(docs: DataFrame, labels: DataFrame, learn_from: Column, size: int = SAMPLE) -> DataFrame:
+def with_scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    learn_from: Column,
+    size: int = SAMPLE,
+    names: tuple[str, str] = ("score", "evidence"),
+) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``evidence`` (examples and cosines, nearest first).
 
     ``learn_from`` is a condition on ``labels`` (doc_id, toxic). Of labels that repeat an id,
@@ -236,7 +242,7 @@ def with_scores(docs: DataFrame, labels: DataFrame, learn_from: Column, size: in
     row; an empty table gives an empty result. Columns of ``docs`` named like the new ones
     are replaced.
     """
-    docs = docs.drop("score", "evidence")
+    docs = docs.drop(*names)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, learn_from, size))
     place = docs.columns.index("text")
 
@@ -257,13 +263,13 @@ def with_scores(docs: DataFrame, labels: DataFrame, learn_from: Column, size: in
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64()), pa.array(evidence, kind)],
-                names=[*batch.schema.names, "score", "evidence"],
+                names=[*batch.schema.names, *names],
             )
 
     added = docs.withColumns(
         {
-            "score": F.lit(0.0),
-            "evidence": F.array().cast("array<struct<doc_id:bigint,cosine:double>>"),
+            names[0]: F.lit(0.0),
+            names[1]: F.array().cast("array<struct<doc_id:bigint,cosine:double>>"),
         }
     )
     return docs.mapInArrow(run, added.schema)
