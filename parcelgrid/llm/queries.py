@@ -10,6 +10,7 @@ from parcelgrid.llm import (
     decontaminate,
     exact_dedup,
     line_dedup,
+    lm,
     packing,
     pii,
     secrets,
@@ -58,6 +59,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"), path)
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; six of seven folds are learnt from."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = remainder_of_id(7) == 2
+    scored = lm.score_texts(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), *scored.columns[1:])
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in each document."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -94,6 +103,7 @@ QUERIES = {
         op3_toxicity,
         op4_url_filters,
         op5_packing,
+        op6_lm_scoring,
         op7_benchmark_decontamination,
         op8_pii,
         op9_secret_scans,
