@@ -114,13 +114,18 @@ def anchors(prints: np.ndarray, spare: int, tables: tuple) -> tuple[np.ndarray,
     return index, anchor, spent == 0
 
 
+def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of signed 64-bit numbers; of the sign as well, which counting takes off."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _links_of_run(homes: np.ndarray, members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """A spanning set of the links between homes and members of one large anchor."""
     members = np.unique(members)
     label = np.arange(len(members))  # the homes are members too
     for at in range(0, len(homes), 256):
         block = homes[at : at + 256]
-        apart = np.bitwise_count(block[:, None] ^ members[None, :])
+        apart = bits_apart(block[:, None], members[None, :])
         for home_near in apart <= max_bits:
             found = np.unique(label[home_near])
             if len(found) > 1:
@@ -148,7 +153,7 @@ def links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int) -
         left = np.repeat(part, n)
         right = np.repeat(start[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         a, b = fp[left], fp[right]
-        near = (np.bitwise_count(a ^ b) <= max_bits) & (a != b)
+        near = (bits_apart(a, b) <= max_bits) & (a != b)
         out += zip(a[near].tolist(), b[near].tolist())
     return out
 

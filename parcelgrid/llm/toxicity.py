@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.llm.simhash import fingerprint
+from parcelgrid.llm.simhash import bits_apart, fingerprint
 
 SAMPLE = 4000  # labelled examples at most
 SAMPLE_BYTES = 64 << 20  # of their texts at most
@@ -154,9 +154,9 @@ def _without_copies(rows: list) -> list:
     """Near copies would make every word they share look telling; the first of them stays."""
     prints, kept = np.zeros(0, np.int64), []
     for row in rows:
-        own = np.int64(fingerprint(row[1].encode("utf-8", "surrogatepass"), 3))
-        if not len(prints) or np.bitwise_count(prints ^ own).min() > COPY_BITS:
-            prints = np.append(prints, own)
+        own = fingerprint(row[1].encode("utf-8", "surrogatepass"), 3)
+        if not len(prints) or bits_apart(prints, np.array([own], np.int64)).min() > COPY_BITS:
+            prints = np.append(prints, np.int64(own))
             kept.append(row)
     return kept
 
