@@ -57,9 +57,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     print(f"wrote {seen.get['rows']} rows (flagged={seen.get['flagged']}) to {args.output}")
     # From the written rows: the lookup does not run again.
     totals = summary(written).first()
-    print(f"  Flagged (truck): {totals['flagged']}")
-    print(f"  High confidence: {totals['high_confidence']}")
-    print(f"  Errors: {totals['errors']}")
+    print(", ".join(f"{name}: {totals[name]}" for name in ("flagged", "high_confidence", "errors")))
     written.select(
         "point_id", "truck_flag", "confidence", "lat", "lon", "parcel_owner", "county"
     ).show(3, truncate=False)

@@ -9,10 +9,12 @@ from parcelgrid.functions.classify import classify_parcel
 from parcelgrid.functions.geometry import once
 from parcelgrid.operators.lookup import MATCHED, spatial_lookup
 from parcelgrid.operators.points import add_point_geometry
+from parcelgrid.session import scratch_dir
 from parcelgrid.types import PARCEL_ATTRS
 
 INVALID_COORDINATES = "invalid coordinates"
 
+# The names and the order of the output columns.
 OUTPUT_COLUMNS = [
     "point_id",
     "lat",
@@ -36,19 +38,26 @@ def ensure_point_id(points: DataFrame) -> DataFrame:
     """``point_id`` as text; where the column is missing, ``P`` and the row position from 0.
 
     The position is the row's place in its partition plus the rows of the partitions
-    before it, so the input should be a plain scan. Only one count per partition moves.
+    before it. The input runs once: it is written, with partition and place as columns, to
+    the shared scratch folder and read from there, so any input keeps every row and each
+    position occurs once. Only one count per partition moves.
     """
     if "point_id" in points.columns:
         return points.withColumn("point_id", F.col("point_id").cast("string"))
     part, start = "__part", "__start"
-    counts = points.groupBy(F.spark_partition_id().alias(part)).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(start))
     in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = points.select(
+    marked = points.select(
         "*", F.spark_partition_id().alias(part), in_partition.alias("__place")
-    ).join(F.broadcast(starts), part)
-    position = (F.col(start) + F.col("__place")).cast("string")
+    )
+    path = scratch_dir(points.sparkSession, "numbered")
+    marked.write.parquet(path)
+    marked = points.sparkSession.read.schema(marked.schema).parquet(path)
+    counts = marked.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(start))
+    numbered = marked.join(F.broadcast(starts), part, "left")
+    known = F.coalesce(start, F.raise_error(F.lit("a partition has no count")).cast("bigint"))
+    position = (known + F.col("__place")).cast("string")
     return numbered.select(*points.columns, F.concat(F.lit("P"), position).alias("point_id"))
 
 
@@ -58,14 +67,16 @@ def coordinate_error(lat: Column, lon: Column) -> Column:
     return F.when(F.coalesce(usable, F.lit(False)), F.lit(None)).otherwise(INVALID_COORDINATES)
 
 
-def output_columns(attr_prefix: str = "") -> list[Column]:
+def output_columns(attr_prefix: str = "", absent: tuple[str, ...] = ()) -> list[Column]:
     """The 13 output columns, from classified and looked-up rows.
 
-    Attributes are '' where there is no parcel; a NULL attribute of a parcel stays NULL.
+    Attributes are '' where there is no parcel, or where the parcel table lacks the column
+    (``absent``); a NULL attribute of a parcel stays NULL.
     """
 
     def attr(name: str, output: str) -> Column:
-        return F.when(F.col(MATCHED), F.col(attr_prefix + name)).otherwise(F.lit("")).alias(output)
+        held = F.lit("") if name in absent else F.col(attr_prefix + name)
+        return F.when(F.col(MATCHED), held).otherwise(F.lit("")).alias(output)
 
     return [
         F.col("point_id"),
@@ -84,6 +95,12 @@ def output_columns(attr_prefix: str = "") -> list[Column]:
     ]
 
 
+def _no_id(parcels: DataFrame) -> Column:
+    """Raises for a parcel without an id, which would sort first and win everywhere."""
+    kind = parcels.schema["parcel_id"].dataType
+    return F.raise_error(F.lit("parcel_id must not be NULL")).cast(kind)
+
+
 def enrich(
     points: DataFrame,
     parcels: DataFrame,
@@ -98,13 +115,15 @@ def enrich(
     ``points`` has ``lat`` and ``lon`` (numbers, or text) and may have ``point_id``.
     ``parcels`` has ``parcel_id``, ``geometry`` and any of the parcel attributes.
     ``limit`` takes the first rows by ``point_id``. ``error_col`` names a column of
-    lookup errors: where it is set, the row is graded as an error. ``observation``
+    lookup errors: where it is set and not empty, the row is graded as an error. ``observation``
     receives ``rows`` and ``flagged`` of whatever action runs on the result.
     """
     prospects = ensure_point_id(points)
     if limit is not None:
-        prospects = prospects.orderBy("point_id").limit(limit)
-    given_error = F.col(error_col) if error_col else F.lit(None).cast("string")
+        # The limit leaves one partition; the rows are spread again for the lookup.
+        spread = min(limit, points.sparkSession.sparkContext.defaultParallelism)
+        prospects = prospects.orderBy("point_id").limit(limit).repartition(max(1, spread))
+    given_error = F.nullif(F.col(error_col), F.lit("")) if error_col else F.lit(None).cast("string")
     prospects = prospects.select(
         "point_id",
         F.col("lat").try_cast("double").alias("lat"),
@@ -118,7 +137,7 @@ def enrich(
     )
     names = [name for name in PARCEL_ATTRS if name in parcels.columns]
     prefixed = parcels.select(
-        "parcel_id", "geometry", *(F.col(name).alias(_ATTR + name) for name in names)
+        F.coalesce("parcel_id", _no_id(parcels)).alias("parcel_id"), "geometry", *(F.col(name).alias(_ATTR + name) for name in names)
     )
     looked_up = spatial_lookup(
         located, prefixed, [_ATTR + name for name in names], broadcast=broadcast
@@ -129,7 +148,7 @@ def enrich(
     attrs = {name: F.col(_ATTR + name) for name in PARCEL_ATTRS}
     graded = classify_parcel(attrs, F.col(MATCHED), F.col("error"))
     result = looked_up.select("*", once(graded).alias("classification")).select(
-        *output_columns(_ATTR)
+        *output_columns(_ATTR, tuple(missing))
     )
     if observation is not None:
         result = result.observe(

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelgrid.functions.geometry import once
 
@@ -11,13 +12,40 @@ KEY_1, KEY_2 = "__k1", "__k2"
 ROW_KEY = [KEY_1, KEY_2]
 
 
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def _has_time(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_time(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.MapType):
+        return _has_time(kind.keyType) or _has_time(kind.valueType)
+    return _has_time(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, _TIMES)
+
+
+def _whole_times(value: Column, kind: T.DataType) -> Column:
+    """``value`` with times as text: JSON would cut them to milliseconds."""
+    if not _has_time(kind):
+        return value
+    if isinstance(kind, T.StructType):
+        fields = [_whole_times(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: _whole_times(v, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entry = T.StructType().add("key", kind.keyType).add("value", kind.valueType)
+        return F.transform(F.map_entries(value), lambda v: _whole_times(v, entry))
+    return value.cast("string")
+
+
 def with_row_key(df: DataFrame, columns: list[str]) -> DataFrame:
     """Add a 128-bit hash of ``columns``, equal where all of them are equal.
 
     The hash is taken of JSON text: plain hashing skips NULLs and does not see where a
     nested array ends, so different rows could share a key.
     """
-    row = F.to_json(F.struct(*columns))
+    parts = [_whole_times(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in columns]
+    row = F.to_json(F.struct(*parts))
     return df.select("*", once(row).alias("__row")).select(
         *df.columns, F.expr(f"xxhash64(1, __row) AS {KEY_1}"), F.expr(f"xxhash64(2, __row) AS {KEY_2}")
     )

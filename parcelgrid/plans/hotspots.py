@@ -19,4 +19,5 @@ def hotspots(
 ) -> DataFrame:
     """Calls become points, are joined to the tract they fall in, and are counted."""
     points = add_point_geometry(calls, lon_col, lat_col, srid)
-    return roadcalls_per_tract(points, tracts, tract_cols or TRACT_COLS, call_id_col)
+    columns = TRACT_COLS if tract_cols is None else tract_cols
+    return roadcalls_per_tract(points, tracts, columns, call_id_col)

