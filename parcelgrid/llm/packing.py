@@ -10,6 +10,7 @@ sequence between, and a monotone queue keeps the least of the window.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,9 +29,9 @@ LENGTH = 2048
 SENTENCE_CUT = 1  # penalty in tokens of padding
 MID_CUT = 12
 LEAST_GAP = 32  # sentences ending sooner than this after another are not cut between
-SEGMENT = 1 << 20  # tokens planned together
-TEXT_BLOCK = 4 << 20  # bytes tokenized together
-KNOWN_WORDS = 400_000  # words a task remembers
+SEGMENT = 1 << 19  # tokens planned together
+TEXT_BLOCK = 1 << 20  # bytes tokenized together
+KNOWN_WORDS = 250_000  # words a task remembers
 MARKS = ".,;:!?"
 _PLAIN = re.compile(r"^[A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ɏ]+$")  # letters that lower case to one letter
 _SENTENCE_END = re.compile(r"^[.!?…]+[\"')\]]*$")
@@ -48,8 +49,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
-        self.whole, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.plain.normalizer = None
+        # A task has one core; a pool of threads in each worker would also keep their memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.whole = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.whole.model)  # shares the model
         self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         self.mark = np.array([self.whole.encode(m, add_special_tokens=False).ids[0] for m in MARKS], np.int64)
         tokens = self.whole.get_vocab()
