@@ -34,7 +34,7 @@ from parcelgrid.llm.common import doc_text, materialize
 
 ORDER = 2
 MASS = 8.0
-PACK_TOKENS = 1_000_000
+PACK_TOKENS = 600_000
 BUCKET_KEYS = 4_000_000  # n-grams of all packs that meet in one bucket, about
 TEXT_BLOCK = 8 << 20  # bytes tokenized together
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)  # stand before and behind a text
