@@ -9,6 +9,8 @@ from parcelgrid.session import scratch_dir
 
 #: The white space of the query contracts: [\x20\x09-\x0D].
 BLANKS = [" ", "\t", "\n", "\x0b", "\x0c", "\r"]
+#: A key is hot with more than 1 / (PIECES * shuffle partitions) of all rows; so few keys can be.
+PIECES = 4
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -44,6 +46,28 @@ def total_bytes(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
+def join_keyed(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined, inner or left, with ``keyed``, which holds each key once.
+
+    The rows of a hot key are cut into pieces by their hash, so that many tasks share them,
+    and its row of ``keyed`` is repeated for each. Keys are told hot by a 64-bit hash, counted
+    where the rows lie; only hashes of hot keys are broadcast, fewer than ``PIECES`` times the
+    shuffle partitions. ``rows`` runs twice, so costly ones should be written before; keys must
+    not be null. Which key is hot changes no row of the result.
+    """
+    share = PIECES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    code = F.xxhash64(*keys).alias("_code")
+    total = max(1, rows.count())
+    counts = rows.groupBy(code).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * share > total)
+    hot = F.broadcast(counts.select("_code", F.ceil(F.col("n") * share / total).cast("int").alias("_pieces")))
+    n = F.coalesce("_pieces", F.lit(1))
+    piece = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), n).cast("int").alias("_piece")
+    cut = rows.select("*", code).join(hot, "_code", "left").select(*rows.columns, piece)
+    every = F.explode(F.sequence(F.lit(0), n - 1)).alias("_piece")
+    repeated = keyed.select("*", code).join(hot, "_code", "left").select(*keyed.columns, every)
+    return cut.join(repeated, [*keys, "_piece"], how).drop("_piece")
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``withColumn`` behind a generator: the optimizer copies no generator into its readers."""
     return df.select("*", F.explode(F.array(value)).alias(name))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.llm.common import doc_text, materialize, once, without_blanks
+from parcelgrid.llm.common import doc_text, join_keyed, materialize, once, without_blanks
 
 CUT_BITS = 3
 
@@ -80,7 +80,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     groups = rows.groupBy("recipe").agg(
         best.alias("best"), F.count(F.lit(1)).alias("group_size")
     )
-    joined = rows.join(groups, "recipe")
+    joined = join_keyed(rows, groups, ["recipe"])
     stays = (F.col("best.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("best.l") == -F.col("length"))
     return joined.select(
         "doc_id",

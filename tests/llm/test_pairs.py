@@ -12,6 +12,7 @@ import pytest
 import xxhash
 
 from parcelgrid.llm import components, exact_dedup, line_dedup, simhash
+from parcelgrid.llm.common import join_keyed
 from pyspark.sql import functions as F
 
 
@@ -186,3 +187,29 @@ def test_single_lines_and_repeats_within_a_text(docs):
     text = {r.doc_id: r for r in got}
     assert text[1].n_removed_chunks == text[2].n_removed_chunks == 0
     assert text[3].n_removed_lines >= 6 and text[3].text.startswith(PASSAGE)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_meet_their_row_in_many_tasks(spark, how):
+    rows = [(0, i) for i in range(4000)] + [(1 + i % 500, i) for i in range(2000)]
+    rows = spark.createDataFrame(rows, "k int, x int").repartition(8)
+    keyed = spark.createDataFrame([(k, f"value {k}") for k in range(0, 700, 2)], "k int, value string")
+    joined = join_keyed(rows, keyed, ["k"], how)
+    assert joined.columns == ["k", "x", "value"]
+    want = rows.join(keyed, ["k"], how)
+    assert Counter(joined.collect()) == Counter(want.collect())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tasks = join_keyed(rows, keyed, ["k"], how).where("k = 0").select(F.spark_partition_id()).distinct()
+        assert tasks.count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keyed_join_of_nothing(spark):
+    rows = spark.createDataFrame([], "k int, x int")
+    keyed = spark.createDataFrame([(1, "a")], "k int, value string")
+    assert join_keyed(rows, keyed, ["k"], "left").collect() == []
+    assert join_keyed(keyed, rows, ["k"]).collect() == []
