@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.llm.common import materialize
+from parcelgrid.llm.common import join_keyed, materialize
 
 
 def _hang(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """Edges (v, m) for every pair (u, v), m being the least of u and all its ``edges``."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     least = least.select("u", F.least("u", "m").alias("m"))
-    moved = pairs.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = join_keyed(pairs, least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.where("u != v").distinct()
 
 
@@ -21,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hangs larger neighbours, then smaller ones, on a node's least neighbour
     (large-star, small-star), until nothing moves: about log2 of the longest path in rounds,
-    never more edges than before. Every round is written to the scratch folder. An empty
+    never more edges than before. Hubs are cut into pieces. Every round is written to the scratch folder. An empty
     graph gives an empty result; loops and repeated edges do not matter.
     """
     down = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
@@ -31,7 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.union(edges.select("v", "u"))
         large = _hang(both, both.where("v > u"))
         # large holds (larger, least); each node with its smaller neighbours and itself
-        large = large.select(*down).distinct()
+        large = materialize(large.select(*down).distinct(), "large")
         small = _hang(large, large.select("u", "v").union(large.select("u", F.col("u").alias("v"))))
         edges = materialize(small.select(*down).distinct(), "edges")
         mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.llm.common import doc_text, materialize
+from parcelgrid.llm.common import doc_text, join_keyed, materialize
 from parcelgrid.llm.components import components
 
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, of the Golay code
@@ -218,8 +218,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
+    rooted = materialize(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_print = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(of_print, "fp").select(
+    of_print = join_keyed(rooted, least, ["root"]).select("fp", "component_id")
+    return join_keyed(rows, of_print, ["fp"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
