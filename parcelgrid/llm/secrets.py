@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.llm.common import doc_text
+from parcelgrid.llm.common import doc_text, join_keyed
 from parcelgrid.llm.spans import find_spans, span_list
 
 # The patterns of the contract. Loops are possessive where nothing that
@@ -84,7 +84,7 @@ def scan_secrets(
         .agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
     )
     copied = F.greatest("owners", "repositories") >= copied_by
-    judged = keyed.join(owned, ["a", "b"]).withColumn("copied", copied).withColumn(
+    judged = join_keyed(keyed, owned, ["a", "b"]).withColumn("copied", copied).withColumn(
         "live", ~F.col("copied") & _looks_random(F.col("value"))
     )
     inside = F.exists(
