@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelgrid.llm.common import materialize
+from parcelgrid.llm.common import join_keyed, materialize
 
 BUCKET_ROWS = 1_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -54,7 +54,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     row; an empty table of pages gives an empty result, one of rules only the default.
 
     Each distinct (host, path) is judged once. The sweep runs in buckets drawn by hash, so a
-    hot host is spread; every bucket gets all rules, and there are at most as many buckets
+    hot host is spread, as are the rows of a hot url at the end; every bucket gets all rules, and there are at most as many buckets
     as keep these copies no more than the urls.
     """
     url_host, url_path = url_host_path(F.col("url"))
@@ -108,7 +108,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
                  F.concat("rule_host", "r.path").alias("rule"), F.col("r.verdict").alias("verdict"))
     )
     won = hits.groupBy("host", "path").agg(best.alias("best"))
-    return placed.join(won, ["host", "path"], "left").select(
+    return join_keyed(placed, won, ["host", "path"], "left").select(
         "page_id",
         "host",
         "path",
