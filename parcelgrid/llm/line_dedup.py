@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.llm.common import doc_text, once
+from parcelgrid.llm.common import doc_text, join_keyed, materialize, once
 
 WINDOW = 2
 CUT = 3  # a chunk ends after about one line in so many
@@ -61,7 +61,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         .where("n > 1 AND texts = 1")
         .select("a", "b", "first")
     )
-    again = keyed.select("doc_id", "at", "a", "b").join(repeated, ["a", "b"]).where(F.col("first") != place)
+    places = materialize(keyed.select("doc_id", "at", "a", "b"), "chunk-places")
+    again = join_keyed(places, repeated, ["a", "b"]).where(F.col("first") != place)
     gone = again.groupBy("doc_id").agg(F.collect_set("at").alias("gone")).withColumnRenamed("doc_id", "id")
     whole = _with_chunks(docs)
     joined = whole.join(gone, whole.doc_id.eqNullSafe(gone.id), "left").withColumn(
