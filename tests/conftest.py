@@ -8,16 +8,13 @@ from pathlib import Path
 
 import pytest
 
-ROOT = Path(__file__).resolve().parent.parent
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).resolve().parent)]
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
 from parcelgrid.functions import register_sql_functions  # noqa: E402
 from parcelgrid.operators import add_point_geometry  # noqa: E402
 from parcelgrid.sources import read_points_csv, read_tracts_wkt  # noqa: E402
-
-FIXTURES = ROOT / "tests" / "fixtures"
-TESTDATA = "/root/testdata"
+from paths import FIXTURES  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -29,7 +29,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "jobs"))
 
 
 def test_csv_columns_are_text(spark):
-    from conftest import FIXTURES
+    from paths import FIXTURES
 
     calls = read_points_csv(spark, str(FIXTURES / "calls.csv"))
     assert set(t for _, t in calls.dtypes) == {"string"}
@@ -207,7 +207,7 @@ def test_hotspot_job(spark, tmp_path, capsys):
 
 def test_hotspot_job_from_csv_and_shapefile(spark, tmp_path):
     import hotspots
-    from conftest import FIXTURES
+    from paths import FIXTURES
 
     ring = [(-90.5, 38.5), (-90.5, 38.875), (-90.125, 38.875), (-90.125, 38.5), (-90.5, 38.5)]
     from parcelgrid.types import TRACT_COLS

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import TESTDATA
+from paths import TESTDATA
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 from check_queries import normal  # noqa: E402

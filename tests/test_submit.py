@@ -6,7 +6,7 @@ import os
 import subprocess
 import sys
 
-from conftest import FIXTURES, ROOT
+from paths import FIXTURES, ROOT
 from parcelgrid.types import TRACT_COLS
 from querybook.shapewriter import shapefile_bytes
 
