@@ -13,6 +13,7 @@ from parcelgrid.llm import (
     lm,
     packing,
     pii,
+    quality,
     secrets,
     simhash,
     toxicity,
@@ -21,6 +22,7 @@ from parcelgrid.llm import (
 from parcelgrid.llm.common import read, remainder_of_id
 
 TOXIC = 0.7  # documents with this score or more are judged toxic
+GOOD = 0.3  # documents with this score or more are judged good
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -95,6 +97,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learnt from four fifths of the labels."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    scored = quality.with_quality(docs, read(spark, sf_dir, "labels"), remainder_of_id(5) != 0)
+    return scored.select(
+        "doc_id",
+        (remainder_of_id(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -108,6 +122,7 @@ QUERIES = {
         op8_pii,
         op9_secret_scans,
         op10_exact_dedup,
+        op13_quality_classifier,
     )
 }
 
