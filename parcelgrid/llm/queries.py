@@ -17,6 +17,7 @@ from parcelgrid.llm import (
     secrets,
     simhash,
     toxicity,
+    trie,
     url_filters,
 )
 from parcelgrid.llm.common import read, remainder_of_id
@@ -97,6 +98,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    turns, convs = trie.numbered(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return trie.prefix_trie(*trie.rebuilt(turns, convs))
+
+
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document, learnt from four fifths of the labels."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -122,8 +129,13 @@ QUERIES = {
         op8_pii,
         op9_secret_scans,
         op10_exact_dedup,
+        op12_conversation_trie,
         op13_quality_classifier,
     )
 }
 
-ORACLES = {"op4_url_filters": url_filters.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {
+    "op4_url_filters": url_filters.ORACLE,
+    "op10_exact_dedup": exact_dedup.ORACLE,
+    "op12_conversation_trie": trie.ORACLE,
+}
