@@ -11,6 +11,7 @@ from parcelgrid.llm import (
     exact_dedup,
     line_dedup,
     lm,
+    negatives,
     packing,
     pii,
     quality,
@@ -98,6 +99,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    vectors = negatives.quantized(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of the rebuilt conversations."""
     turns, convs = trie.numbered(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
@@ -129,6 +136,7 @@ QUERIES = {
         op8_pii,
         op9_secret_scans,
         op10_exact_dedup,
+        op11_hard_negatives,
         op12_conversation_trie,
         op13_quality_classifier,
     )
@@ -137,5 +145,6 @@ QUERIES = {
 ORACLES = {
     "op4_url_filters": url_filters.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op11_hard_negatives": negatives.ORACLE,
     "op12_conversation_trie": trie.ORACLE,
 }
