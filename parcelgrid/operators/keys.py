@@ -6,46 +6,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelgrid.functions.geometry import once
-
 KEY_1, KEY_2 = "__k1", "__k2"
 ROW_KEY = [KEY_1, KEY_2]
 
 
-_TIMES = (T.TimestampType, T.TimestampNTZType)
+def _sorted_entries(value: Column) -> Column:
+    return F.array_sort(F.map_entries(value))
 
 
-def _has_time(kind: T.DataType) -> bool:
-    if isinstance(kind, T.StructType):
-        return any(_has_time(f.dataType) for f in kind.fields)
-    if isinstance(kind, T.MapType):
-        return _has_time(kind.keyType) or _has_time(kind.valueType)
-    return _has_time(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, _TIMES)
+def _entries(kind: T.MapType) -> T.ArrayType:
+    return T.ArrayType(T.StructType().add("key", kind.keyType).add("value", kind.valueType))
 
 
-def _whole_times(value: Column, kind: T.DataType) -> Column:
-    """``value`` with times as text: JSON would cut them to milliseconds."""
-    if not _has_time(kind):
-        return value
-    if isinstance(kind, T.StructType):
-        fields = [_whole_times(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
-        return F.when(value.isNotNull(), F.struct(*fields))
+def _elements(items: Column, kind: T.DataType) -> list[Column]:
+    """What tells two arrays of one known size apart, as columns without nested arrays."""
+    if isinstance(kind, T.MapType):
+        return _elements(F.transform(items, _sorted_entries), _entries(kind))
     if isinstance(kind, T.ArrayType):
-        return F.transform(value, lambda v: _whole_times(v, kind.elementType))
+        nothing = F.array().cast(kind)
+        sizes = F.transform(items, lambda v: F.coalesce(F.size(v), F.lit(-1)))
+        inner = F.flatten(F.transform(items, lambda v: F.coalesce(v, nothing)))
+        return [sizes, *_elements(inner, kind.elementType)]
+    missing = F.transform(items, F.isnull)
+    if isinstance(kind, T.StructType):
+        return [missing, *(c for f in kind.fields for c in _elements(items[f.name], f.dataType))]
+    return [missing, items]
+
+
+def _encoded(value: Column, kind: T.DataType) -> list[Column]:
+    """Columns whose hashes, in this order, say what ``value`` is.
+
+    A NULL mark or a size comes before every value, so values of one type never read alike
+    unless they are equal. Times are hashed as instants; both zeros are one, as in grouping.
+    """
     if isinstance(kind, T.MapType):
-        entry = T.StructType().add("key", kind.keyType).add("value", kind.valueType)
-        return F.transform(F.map_entries(value), lambda v: _whole_times(v, entry))
-    return value.cast("string")
+        return _encoded(_sorted_entries(value), _entries(kind))
+    if isinstance(kind, T.ArrayType):
+        items = F.coalesce(value, F.array().cast(kind))
+        return [F.coalesce(F.size(value), F.lit(-1)), *_elements(items, kind.elementType)]
+    if isinstance(kind, T.StructType):
+        return [value.isNull(), *(c for f in kind.fields for c in _encoded(value[f.name], f.dataType))]
+    return [value.isNull(), value]
 
 
 def with_row_key(df: DataFrame, columns: list[str]) -> DataFrame:
     """Add a 128-bit hash of ``columns``, equal where all of them are equal.
 
-    The hash is taken of JSON text: plain hashing skips NULLs and does not see where a
-    nested array ends, so different rows could share a key.
+    Plain hashing skips NULLs and does not see where a nested array ends, so the marks and
+    sizes are hashed with the values.
     """
-    parts = [_whole_times(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in columns]
-    row = F.to_json(F.struct(*parts))
-    return df.select("*", once(row).alias("__row")).select(
-        *df.columns, F.expr(f"xxhash64(1, __row) AS {KEY_1}"), F.expr(f"xxhash64(2, __row) AS {KEY_2}")
-    )
+    parts = [c for name in columns for c in _encoded(F.col(f"`{name}`"), df.schema[name].dataType)]
+    keys = (F.xxhash64(F.lit(seed), *parts).alias(key) for seed, key in enumerate(ROW_KEY, 1))
+    return df.select("*", *keys)

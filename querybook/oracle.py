@@ -173,6 +173,9 @@ ORACLES = {
     "hotspots_timestamp_cols": f"""
         SELECT n_nationkey, 1704067200000000 + k AS seen_micros, roadcall_count
         FROM ({_COUNTS}), (VALUES (1), (2)) v(k)""",
+    "hotspots_zoned_timestamps": f"""
+        SELECT n_nationkey, 1730611800 + 3600 * k AS seen_seconds, roadcall_count
+        FROM ({_COUNTS}), (VALUES (0), (1)) v(k)""",
     "hotspot_total": f"""
         SELECT CAST(sum(roadcall_count) AS BIGINT) AS total, count(*) AS tracts,
                CAST(0 AS BIGINT) AS no_geometry

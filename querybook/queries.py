@@ -210,6 +210,19 @@ def hotspots_timestamp_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("n_nationkey", F.unix_micros("seen").alias("seen_micros"), "roadcall_count")
 
 
+def hotspots_zoned_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where clocks go back, the hour that comes twice is two instants, and two tract rows."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "America/New_York")
+    register_sql_functions(session)
+    first = F.lit(1_730_611_800)  # 2024-11-03 01:30 in New York, and again an hour later
+    tracts = I.tracts(session, sf_dir).select(
+        "*", F.explode(F.array(F.timestamp_seconds(first), F.timestamp_seconds(first + 3600))).alias("seen")
+    )
+    counts = roadcalls_per_tract(I.call_points(session, sf_dir), tracts, ["n_nationkey", "seen"])
+    return counts.select("n_nationkey", F.unix_seconds("seen").alias("seen_seconds"), "roadcall_count")
+
+
 def hotspot_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = roadcalls_per_tract(I.call_points(spark, sf_dir), I.tracts(spark, sf_dir), TRACT_COLS)
     return counts.agg(
@@ -476,6 +489,7 @@ QUERIES = {
         hotspots_duplicate_tracts,
         hotspots_geometry_only,
         hotspots_timestamp_cols,
+        hotspots_zoned_timestamps,
         hotspot_total,
         hotspots_from_csv,
         coords_not_null,
