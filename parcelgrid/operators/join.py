@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parcelgrid.functions import expressions as E
 from parcelgrid.functions.geometry import once, record
 from parcelgrid.operators import cells as C
-from parcelgrid.operators.skew import salted_join
+from parcelgrid.operators.skew import split_join
 
 X, Y = "__x", "__y"
 
@@ -123,7 +123,7 @@ def match_pairs(
     if plan.strategy == "broadcast_polygons":
         met = probes.join(F.broadcast(index), C.KEY).where(may_hit)
     else:
-        met = salted_join(probes, index, [C.KEY], condition=may_hit)
+        met = split_join(probes, index, [C.KEY], condition=may_hit)
     # The second test needs a lambda, which has no generated code. The id, never negative
     # and not deterministic, keeps it out of the join above, which stays compiled whole.
     return met.where(hit | (F.monotonically_increasing_id() < 0)).select(*kept)

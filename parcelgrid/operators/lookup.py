@@ -10,7 +10,7 @@ from parcelgrid.functions.geometry import once, record
 from parcelgrid.operators import cells as C
 from parcelgrid.operators.join import X, Y, JoinPlan, checked, indexed, match_pairs, plan_join
 from parcelgrid.operators.keys import ROW_KEY, with_row_key
-from parcelgrid.operators.skew import salted_join
+from parcelgrid.operators.skew import split_join
 
 MATCHED = "parcel_matched"
 
@@ -113,4 +113,4 @@ def _by_spot(
     best = pairs.groupBy(X, Y).agg(F.min(F.struct(*payload)).alias(_BEST))
     if plan.strategy == "broadcast_points":
         return spots.join(F.broadcast(best), [X, Y], "left")
-    return salted_join(spots, best, [X, Y], how="left", split_right=False)
+    return split_join(spots, best, [X, Y], how="left", split_right=False)

@@ -12,7 +12,7 @@ from parcelgrid.functions import st_intersects
 from parcelgrid.operators import add_point_geometry, spatial_join, spatial_lookup
 from parcelgrid.operators import cells as C
 from parcelgrid.operators import join as J
-from parcelgrid.operators.skew import hot_keys
+from parcelgrid.operators.skew import split_join, watched
 from parcelgrid.sources import tracts_from_wkt
 
 STRATEGIES = ["broadcast_polygons", "broadcast_points", "shuffle"]
@@ -194,9 +194,83 @@ def test_polygon_on_the_point_side_raises(tracts):
         spatial_join(renamed, tracts, ["FIPS"], ["id"]).collect()
 
 
+@pytest.fixture(params=["adaptive", "watched"])
+def skew(request, spark):
+    """Hot keys split by the shuffle itself, or by a sketch of the written rows."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.enabled": str(request.param == "adaptive").lower(),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_hot_keys_are_few_and_found(spark):
-    keys = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k")
-    hot = hot_keys(keys, ["k"], "n").collect()
-    assert [r["k"] for r in hot] == [-1]
-    # A third of the rows is cut into a third of the pieces there may be.
-    assert hot[0]["n"] == 6
+    keys = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 3 = 1 THEN id END AS k", "id")
+    written, hot = watched(keys, ["k"])
+    assert written.count() == 30_000
+    assert len(hot) == 1
+    # Half of the rows with a key is cut into half of the pieces there may be.
+    assert list(hot.values()) == [8]
+    assert watched(keys.limit(0), ["k"])[1] == {}
+
+
+def test_no_hot_key_escapes_the_sketch(spark):
+    """Twelve keys just above the share of a hot one, among as many rare keys as there are rows left."""
+    keys = spark.range(64_000).selectExpr("CASE WHEN id % 15 < 12 THEN -(id % 15) - 1 ELSE id END AS k")
+    _, hot = watched(keys, ["k"])
+    want = {r[0] for r in spark.range(12).select(F.xxhash64(-F.col("id") - 1)).collect()}
+    assert set(hot) == want and set(hot.values()) == {2}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_equals_a_plain_join(spark, skew, how):
+    left = spark.range(40_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 7 = 0 THEN NULL ELSE id % 500 END AS k", "id")
+    copies = "explode(sequence(1, if(id % 501 = 7, 300, 1)))" if how == "inner" else "1"
+    right = spark.range(501).selectExpr("id - 1 AS k", "id * 10 AS r", f"{copies} AS c")
+    joined = split_join(left, right, ["k"], how, split_right=how == "inner")
+    plain = left.join(right, ["k"], how)
+    digest = [F.count(F.lit(1)), F.sum(F.xxhash64("k", "id", "r", "c").cast("decimal(38,0)"))]
+    assert joined.agg(*digest).first() == plain.agg(*digest).first()
+    if skew == "adaptive":
+        joined.toPandas()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_points_are_read_once_by_the_join_and_twice_by_the_lookup(spark, skew, random_points, random_polygons):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    kept = random_points.select("id", "geometry")
+    watched_points = kept.mapInArrow(count, kept.schema)
+    n = kept.count()
+    pairs = spatial_join(watched_points, random_polygons, ["pid"], ["id"], broadcast=False)
+    assert pairs.count() > 0 and seen.value == n
+    spatial_lookup(watched_points, random_polygons, ["pid"], "pid", False).write.format("noop").mode("overwrite").save()
+    assert seen.value == 3 * n
+
+
+@pytest.mark.parametrize("side", ["pairs", "lookup"])
+def test_shuffled_results_are_the_same_however_hot_keys_are_split(skew, side, random_points, random_polygons, expected):
+    if side == "pairs":
+        pairs = spatial_join(random_points, random_polygons, ["pid"], ["id"], False)
+        assert sorted((r["id"], r["pid"]) for r in pairs.collect()) == expected
+    else:
+        found = spatial_lookup(random_points, random_polygons, ["pid"], "pid", False).collect()
+        best = {}
+        for point, polygon in expected:
+            best[point] = min(polygon, best.get(point, polygon))
+        assert len(found) == random_points.count() and all(r["pid"] == best.get(r["id"]) for r in found)
