@@ -236,6 +236,18 @@ concat(
 """
 
 
+def _cut(bands: DataFrame, payload: list[str], kept: list[str], level: str) -> DataFrame:
+    """Bands (__cy, __cx0 to __cx1, __side and edges) cut into cells, without those outside."""
+    bands = bands.select("*", F.expr("__cy * __side AS __bottom"), F.expr("(__cy + 1) * __side AS __top"))
+    cells = (
+        bands.select("*", F.expr(f"{_IN_BAND} AS __band"))
+        .select(*payload, *kept, "__side", "__cy", F.expr(_CELLS_OF_BAND))
+        .where("size(__c.through) > 0 OR size(__c.heights) > 0")
+    )
+    key = F.expr(f"{_pack(level, '__c.cx', '__cy')} AS {KEY}")
+    return cells.select(*payload, *(c for c in kept if c == LEVEL), key, F.expr(_EDGES_OF_CELL))
+
+
 def polygon_cells(polygons: DataFrame, payload: list[str], shift: int, partitions: int) -> DataFrame:
     """The index: ``payload`` columns, level, key and edge list per polygon and cell.
 
@@ -257,19 +269,48 @@ def polygon_cells(polygons: DataFrame, payload: list[str], shift: int, partition
             F.expr("floor(g.bbox.xmax / __side) AS __cx1"),
             F.expr(f"explode({_span('y', '__side')}) AS __cy"),
         )
-        .select("*", F.expr("__cy * __side AS __bottom"), F.expr("(__cy + 1) * __side AS __top"))
-    )
-    cells = (
-        bands.select("*", F.expr(f"{_IN_BAND} AS __band"))
-        .select(*payload, LEVEL, "__side", "__cy", F.expr(_CELLS_OF_BAND))
-        .where("size(__c.through) > 0 OR size(__c.heights) > 0")
     )
-    return cells.select(
+    return _cut(bands, payload, [LEVEL], f"{LEVEL} + {shift}")
+
+
+# What a key says: level, column and row of the cell.
+KEY_LEVEL = f"(CAST(shiftrightunsigned({KEY}, {2 * CELL_BITS}) AS INT) + {MIN_LEVEL})"
+_KEY_X = f"((shiftright({KEY}, {CELL_BITS}) & {2 * HALF_RANGE - 1}L) - {HALF_RANGE}L)"
+_KEY_Y = f"(({KEY} & {2 * HALF_RANGE - 1}L) - {HALF_RANGE}L)"
+_FINER = 1 << LEVEL_STEP
+
+# Cells one level step finer exist, and their numbers fit the key.
+DIVISIBLE = (
+    f"({KEY_LEVEL} - {LEVEL_STEP} >= {MIN_LEVEL}"
+    f" AND greatest(abs({_KEY_X}), abs({_KEY_Y})) + 1 < {HALF_RANGE // _FINER})"
+)
+
+# The polygon holds the whole cell: all that is left is one upright edge on its right.
+COVERS = f"""
+(size({EDGES}) = 1 AND {EDGES}[0].x1 = {EDGES}[0].x2
+ AND {EDGES}[0].x1 >= ({_KEY_X} + 1) * {_side(KEY_LEVEL)}
+ AND {EDGES}[0].y1 <= {_KEY_Y} * {_side(KEY_LEVEL)}
+ AND {EDGES}[0].y2 >= ({_KEY_Y} + 1) * {_side(KEY_LEVEL)})
+"""
+
+
+def divided(index: DataFrame, payload: list[str]) -> DataFrame:
+    """Every cell row as rows of the cells one step finer: its edges are all they need."""
+    bands = index.select(
         *payload,
-        LEVEL,
-        F.expr(f"{_pack(f'{LEVEL} + {shift}', '__c.cx', '__cy')} AS {KEY}"),
-        F.expr(_EDGES_OF_CELL),
-    )
+        EDGES,
+        F.expr(f"{KEY_LEVEL} - {LEVEL_STEP} AS __finer"),
+        F.expr(f"{_KEY_X} * {_FINER} AS __cx0"),
+        F.expr(f"{_KEY_X} * {_FINER} + {_FINER - 1} AS __cx1"),
+        F.expr(f"explode(sequence({_KEY_Y} * {_FINER}, {_KEY_Y} * {_FINER} + {_FINER - 1})) AS __cy"),
+    ).select("*", F.expr(f"{_side('__finer')} AS __side"))
+    return _cut(bands, payload, ["__finer"], "__finer")
+
+
+def row_bytes(payload: list[str]) -> Column:
+    """Upper bound of the bytes of an index row in a broadcast hash table."""
+    own = F.length(F.to_json(F.struct(*payload))) if payload else F.lit(0)
+    return own + ROW_BYTES + F.size(EDGES) * EDGE_BYTES
 
 
 _ENDS = ("x1", "y1", "x2", "y2")

@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelgrid.functions import expressions as E
 from parcelgrid.functions.geometry import once, record
 from parcelgrid.operators import cells as C
-from parcelgrid.operators.join import X, Y, JoinPlan, checked, indexed, match_pairs, plan_join
+from parcelgrid.operators.join import (
+    X,
+    Y,
+    JoinPlan,
+    broadcast_limit,
+    checked,
+    indexed,
+    match_pairs,
+    plan_join,
+)
 from parcelgrid.operators.keys import ROW_KEY, with_row_key
 from parcelgrid.operators.skew import split_join
+from parcelgrid.session import scratch_dir
 
 MATCHED = "parcel_matched"
 
 _SPOT = "__spot"
 _BEST = "__best"
 
+# Candidates of one cell from which on it is cut finer, and how often at most.
+CROWD = 32
+ROUNDS = 8
+# A cut cell's rows become so many times as many bytes at most, as a rule.
+GROWTH = 5
+
 
 def spatial_lookup(
     points: DataFrame,
@@ -69,6 +85,56 @@ def _lowest_per_shape(parcels: DataFrame, payload: list[str]) -> DataFrame:
     )
 
 
+def _undominated(index: DataFrame, payload: list[str]) -> DataFrame:
+    """Per cell, the candidates that can be the answer at some point of it.
+
+    A parcel that holds the whole cell ends the list: no higher id is ever taken there. Of
+    parcels whose edges are the same within the cell, the lowest id is always taken. The
+    index fits the broadcast limit, so the rows of one cell fit a task.
+    """
+    best = F.struct(*payload)
+    top = F.min(F.when(F.expr(C.COVERS), best)).over(Window.partitionBy(C.KEY))
+    rows = index.select(C.KEY, best.alias(_BEST), F.array_sort(C.EDGES).alias(C.EDGES), top.alias("__top"))
+    rows = rows.where(f"__top IS NULL OR {_BEST} <= __top")
+    return rows.groupBy(C.KEY, C.EDGES).agg(F.min(_BEST).alias(_BEST)).select(f"{_BEST}.*", C.KEY, C.EDGES)
+
+
+def arranged(index: DataFrame, payload: list[str], limit: int) -> tuple[DataFrame, list[int]]:
+    """The index with short candidate lists, and the levels of its cells.
+
+    ``payload`` starts with the id. Where a cell has more than ``CROWD`` candidates,
+    dominated ones go, and cells that are crowded still are cut into finer ones, in each of
+    which fewer parcels have an edge and the lowest that holds it ends the list: so lists do
+    not grow with the overlap. This goes on while the index, measured, has room within
+    ``limit`` bytes, for ``ROUNDS`` at most.
+    """
+    spark = index.sparkSession
+    crowds = [CROWD << step for step in range(24)]
+    over = ["__n > " + str(CROWD), *(f"__n > {crowd} AND {C.DIVISIBLE}" for crowd in crowds)]
+    sums = [F.sum(F.expr(f"CASE WHEN {which} THEN __bytes ELSE 0L END")) for which in over]
+
+    def written(rows: DataFrame) -> tuple[DataFrame, DataFrame, list]:
+        path = scratch_dir(spark, "arrangement")
+        rows.write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+        held = rows.groupBy(C.KEY).agg(F.count(F.lit(1)).alias("__n"), F.sum(C.row_bytes(payload)).alias("__bytes"))
+        return rows, held, list(held.agg(F.collect_set(F.expr(C.KEY_LEVEL)), F.sum("__bytes"), *sums).first())
+
+    rows, held, (levels, total, crowded, *to_cut) = written(index.select(*payload, C.KEY, C.EDGES))
+    if crowded:
+        rows, held, (levels, total, crowded, *to_cut) = written(_undominated(rows, payload))
+        for _ in range(ROUNDS):
+            # The most crowded cells come first where there is no room to cut them all.
+            fits = [which for which, size in zip(over[1:], to_cut) if size and total + GROWTH * size <= limit]
+            if not fits:
+                break
+            cut = held.where(fits[0]).select(C.KEY)
+            finer = C.divided(rows.join(cut, C.KEY, "left_semi"), payload)
+            rest = rows.join(cut, C.KEY, "left_anti").select(*finer.columns)
+            rows, held, (levels, total, crowded, *to_cut) = written(_undominated(rest.union(finer), payload))
+    return rows, sorted(levels)
+
+
 def _probe_cells(
     spots: DataFrame, parcels: DataFrame, payload: list[str], plan: JoinPlan
 ) -> DataFrame:
@@ -78,20 +144,17 @@ def _probe_cells(
     The lists are part of an index that is known to fit the broadcast limit, and all
     levels share one broadcast.
     """
+    rows, levels = arranged(indexed(parcels, payload, plan), payload, broadcast_limit(spots))
     fields = ", ".join(f"'{name}', `{name}`" for name in payload)
-    lists = (
-        indexed(parcels, payload, plan)
-        .groupBy(C.KEY)
-        .agg(
-            F.expr(
-                f"sort_array(collect_list(named_struct('best', named_struct({fields}), "
-                f"'edges', {C.EDGES}))) AS __list"
-            )
+    lists = rows.groupBy(C.KEY).agg(
+        F.expr(
+            f"sort_array(collect_list(named_struct('best', named_struct({fields}), "
+            f"'edges', {C.EDGES}))) AS __list"
         )
     )
     found = spots
-    picks = []
-    for i, level in enumerate(plan.levels):
+    picks = [F.lit(None).cast(lists.schema["__list"].dataType.elementType["best"].dataType)]
+    for i, level in enumerate(levels):
         key, candidates = f"__key_{i}", f"__list_{i}"
         found = found.select("*", F.expr(f"{C.point_key(X, Y, level)} AS {key}")).join(
             F.broadcast(lists.select(F.col(C.KEY).alias(key), F.col("__list").alias(candidates))),
@@ -99,9 +162,9 @@ def _probe_cells(
             "left",
         )
         hit = E.is_hit(E.edges_total("c.edges", X, Y))
-        picks.append(f"get(filter({candidates}, c -> {hit}), 0).best")
-    best = f"array_min(array_compact(array({', '.join(picks)})))"
-    return found.select(*spots.columns, F.expr(f"explode(array({best})) AS {_BEST}"))
+        picks.append(F.expr(f"get(filter({candidates}, c -> {hit}), 0).best"))
+    best = F.array_min(F.array_compact(F.array(*picks)))
+    return found.select(*spots.columns, once(best).alias(_BEST))
 
 
 def _by_spot(

@@ -109,6 +109,17 @@ SELECT p_partkey AS parcel_id,
 FROM part
 """
 
+# Nested parcels: a thousand squares about one centre, 1/128 apart, a centre for every
+# thousand parts. Some ids grow outwards, some inwards, some jump.
+NESTED = """
+SELECT CASE floor(p_partkey / 1000) % 3
+         WHEN 0 THEN p_partkey WHEN 1 THEN 1000000 - p_partkey ELSE p_partkey * 7919 % 1000003 END AS parcel_id,
+       CAST(8 + floor(p_partkey / 1000) % 3 * 16 AS DOUBLE) AS cx,
+       CAST(8 + floor(p_partkey / 3000) * 4 AS DOUBLE) AS cy,
+       CAST(1 + p_partkey % 1000 AS DOUBLE) / 128e0 AS half
+FROM part
+"""
+
 # Every order as a point of a lattice: many lie on edges and corners of tracts.
 LATTICE = """
 SELECT o_orderkey AS call_num,
@@ -189,6 +200,14 @@ def prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, PROSPECTS, "orders")
 
 
+def nested_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ring = _ring(
+        ("cx - half", "cy - half"), ("cx + half", "cy - half"), ("cx + half", "cy + half"), ("cx - half", "cy + half")
+    )
+    table = _derive(spark, sf_dir, NESTED, "part").withColumn("wkt", F.concat(F.lit("POLYGON("), ring, F.lit(")")))
+    return tracts_from_wkt(table).drop("cx", "cy", "half", "wkt")
+
+
 def parcel_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, PARCELS, "part")
 

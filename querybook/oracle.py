@@ -197,6 +197,11 @@ ORACLES = {
         FROM supplier""",
     "parcel_lookup_first": _LOOKUP,
     "parcel_lookup_no_broadcast": _LOOKUP,
+    "parcel_lookup_nested": f"""
+        SELECT point_id, min(parcel_id) AS parcel_id, min(parcel_id) IS NOT NULL AS parcel_matched
+        FROM ({I.PROSPECTS}) p
+        LEFT JOIN ({I.NESTED}) n ON abs(p.lon - n.cx) <= n.half AND abs(p.lat - n.cy) <= n.half
+        GROUP BY point_id""",
     "classify_keywords": _classified(["owner", "address", "struct"]),
     "classify_zoning": _classified(["zoning_type"]),
     "classify_lbcs": _classified(["lbcs_activity", "lbcs_function"]),

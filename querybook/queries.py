@@ -296,6 +296,13 @@ def _lookup(spark: SparkSession, sf_dir: str, broadcast: bool) -> DataFrame:
     return found.select("point_id", "parcel_id", "owner", "parcel_matched")
 
 
+def parcel_lookup_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest of up to a thousand parcels about a point, many borders in every cell."""
+    points = add_point_geometry(I.prospects(spark, sf_dir), "lon", "lat")
+    found = spatial_lookup(points, I.nested_parcels(spark, sf_dir), ["parcel_id"])
+    return found.select("point_id", "parcel_id", "parcel_matched")
+
+
 def parcel_lookup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(spark, sf_dir, broadcast=True)
 
@@ -499,6 +506,7 @@ QUERIES = {
         tables_listed,
         parcel_lookup_first,
         parcel_lookup_no_broadcast,
+        parcel_lookup_nested,
         classify_keywords,
         classify_zoning,
         classify_lbcs,
