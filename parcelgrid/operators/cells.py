@@ -187,15 +187,25 @@ def point_keys(x: str, y: str, levels: list[int]) -> Column:
 
 def box_cells(polygons: DataFrame, payload: list[str], shift: int) -> DataFrame:
     """One row per polygon and cell of its box, with the whole geometry ``g``."""
+    return _box_keys(_measured(polygons, payload), [*payload, "g"], shift)
+
+
+def _box_keys(measured: DataFrame, kept: list[str], shift: int) -> DataFrame:
     side = _side(f"{LEVEL} + {shift}")
     return (
-        _measured(polygons, payload)
-        .select("*", F.expr(f"explode({_span('y', side)}) AS __cy"))
+        measured.select("*", F.expr(f"explode({_span('y', side)}) AS __cy"))
         .select("*", F.expr(f"explode({_span('x', side)}) AS __cx"))
-        .select(*payload, "g", F.expr(f"{_pack(f'{LEVEL} + {shift}', '__cx', '__cy')} AS {KEY}"))
+        .select(*kept, F.expr(f"{_pack(f'{LEVEL} + {shift}', '__cx', '__cy')} AS {KEY}"))
     )
 
 
+def most_in_a_cell(polygons: DataFrame, shift: int) -> int:
+    """The most boxes that meet one cell: no cell of the index has more rows."""
+    boxes = _measured(polygons, []).select(LEVEL, F.expr("named_struct('bbox', g.bbox) AS g"))
+    counts = _box_keys(boxes, [], shift).groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
 # Where an edge runs inside the band, as first and last cell column, a little padded so
 # that rounding never drops a cell.
 _IN_BAND = f"""

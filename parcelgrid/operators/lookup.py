@@ -20,7 +20,7 @@ from parcelgrid.operators.join import (
 )
 from parcelgrid.operators.keys import ROW_KEY, with_row_key
 from parcelgrid.operators.skew import split_join
-from parcelgrid.session import scratch_dir
+from parcelgrid.session import written
 
 MATCHED = "parcel_matched"
 
@@ -51,12 +51,13 @@ def spatial_lookup(
     if repeated:
         raise ValueError(f"columns on both sides of the lookup: {sorted(repeated)}")
     payload = list(dict.fromkeys([id_col, *attrs]))
-    plan = plan_join(points, parcels, payload, broadcast)
+    # The parcels are worked on several times: their source is read, and their text parsed, once.
+    shapes = written(_lowest_per_shape(parcels, payload), "parcels")
+    plan = plan_join(points, shapes, payload, broadcast)
     if not plan.stats.levels:
         nothing = [F.lit(None).cast(parcels.schema[a].dataType).alias(a) for a in attrs]
         return points.select("*", *nothing, F.lit(False).alias(MATCHED))
 
-    shapes = _lowest_per_shape(parcels, payload)
     spot = record(
         x=F.expr(checked(plan.stats.srid, "geometry.bbox.xmin")), y=F.expr("geometry.bbox.ymin")
     )
@@ -102,36 +103,30 @@ def _undominated(index: DataFrame, payload: list[str]) -> DataFrame:
 def arranged(index: DataFrame, payload: list[str], limit: int) -> tuple[DataFrame, list[int]]:
     """The index with short candidate lists, and the levels of its cells.
 
-    ``payload`` starts with the id. Where a cell has more than ``CROWD`` candidates,
-    dominated ones go, and cells that are crowded still are cut into finer ones, in each of
-    which fewer parcels have an edge and the lowest that holds it ends the list: so lists do
-    not grow with the overlap. This goes on while the index, measured, has room within
-    ``limit`` bytes, for ``ROUNDS`` at most.
+    ``payload`` starts with the id. Dominated candidates go, and cells with more than
+    ``CROWD`` still are cut into finer ones, in each of which fewer parcels have an edge and
+    the lowest that holds it ends the list: so lists do not grow with the overlap. This goes
+    on while the index, measured, has room within ``limit`` bytes, for ``ROUNDS`` at most.
     """
-    spark = index.sparkSession
     crowds = [CROWD << step for step in range(24)]
-    over = ["__n > " + str(CROWD), *(f"__n > {crowd} AND {C.DIVISIBLE}" for crowd in crowds)]
+    over = [f"__n > {crowd} AND {C.DIVISIBLE}" for crowd in crowds]
     sums = [F.sum(F.expr(f"CASE WHEN {which} THEN __bytes ELSE 0L END")) for which in over]
 
-    def written(rows: DataFrame) -> tuple[DataFrame, DataFrame, list]:
-        path = scratch_dir(spark, "arrangement")
-        rows.write.parquet(path)
-        rows = spark.read.schema(rows.schema).parquet(path)
+    def measured(rows: DataFrame) -> tuple[DataFrame, DataFrame, list]:
+        rows = written(rows, "arrangement")
         held = rows.groupBy(C.KEY).agg(F.count(F.lit(1)).alias("__n"), F.sum(C.row_bytes(payload)).alias("__bytes"))
         return rows, held, list(held.agg(F.collect_set(F.expr(C.KEY_LEVEL)), F.sum("__bytes"), *sums).first())
 
-    rows, held, (levels, total, crowded, *to_cut) = written(index.select(*payload, C.KEY, C.EDGES))
-    if crowded:
-        rows, held, (levels, total, crowded, *to_cut) = written(_undominated(rows, payload))
-        for _ in range(ROUNDS):
-            # The most crowded cells come first where there is no room to cut them all.
-            fits = [which for which, size in zip(over[1:], to_cut) if size and total + GROWTH * size <= limit]
-            if not fits:
-                break
-            cut = held.where(fits[0]).select(C.KEY)
-            finer = C.divided(rows.join(cut, C.KEY, "left_semi"), payload)
-            rest = rows.join(cut, C.KEY, "left_anti").select(*finer.columns)
-            rows, held, (levels, total, crowded, *to_cut) = written(_undominated(rest.union(finer), payload))
+    rows, held, (levels, total, *to_cut) = measured(_undominated(index, payload))
+    for _ in range(ROUNDS):
+        # The most crowded cells come first where there is no room to cut them all.
+        fits = [which for which, size in zip(over, to_cut) if size and total + GROWTH * size <= limit]
+        if not fits:
+            break
+        cut = held.where(fits[0]).select(C.KEY)
+        finer = C.divided(rows.join(cut, C.KEY, "left_semi"), payload)
+        rest = rows.join(cut, C.KEY, "left_anti").select(*finer.columns)
+        rows, held, (levels, total, *to_cut) = measured(_undominated(rest.union(finer), payload))
     return rows, sorted(levels)
 
 
@@ -144,7 +139,9 @@ def _probe_cells(
     The lists are part of an index that is known to fit the broadcast limit, and all
     levels share one broadcast.
     """
-    rows, levels = arranged(indexed(parcels, payload, plan), payload, broadcast_limit(spots))
+    rows, levels = indexed(parcels, payload, plan), plan.levels
+    if C.most_in_a_cell(parcels, plan.shift) > CROWD:
+        rows, levels = arranged(rows, payload, broadcast_limit(spots))
     fields = ", ".join(f"'{name}', `{name}`" for name in payload)
     lists = rows.groupBy(C.KEY).agg(
         F.expr(
