@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcelgrid.functions.geometry import once
 from parcelgrid.operators.join import X, Y, located, match_pairs, plan_join
 from parcelgrid.operators.keys import ROW_KEY, with_row_key
+from parcelgrid.session import written
 
 _ID = "__id"
 _COPIES = "__copies"
@@ -37,7 +38,9 @@ def count_points_per_polygon(
         .groupBy(*ROW_KEY)
         .agg(*(F.first(c).alias(c) for c in columns), F.count(F.lit(1)).alias(_COPIES))
     )
-    plan = plan_join(points, polygons, [], broadcast)
+    # Measured, indexed and attached at the end: their source is read, and its text parsed, once.
+    distinct = written(distinct, "polygons")
+    plan = plan_join(points, distinct, [], broadcast)
     if not plan.stats.levels:
         counts = distinct.limit(0).select(*ROW_KEY, F.lit(0).cast("bigint").alias(count_col))
     else:
