@@ -36,20 +36,25 @@ def _with_chunks(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed_lines, n_removed_chunks, text.
 
-    A chunk stays where its doc_id is least, then where it comes first; of a null doc_id,
-    last. Lines are parted by line feeds and compared byte for byte. Null texts count as
-    empty, and an empty text is one empty line. A text of which all chunks go is empty. Rows
-    that repeat a doc_id are one document: what one loses, all lose, and a first place is one
-    in each of them. Other columns are not looked at. An empty table gives an empty result.
+    A chunk stays where its doc_id is least, then (rows that share an id, or have none) where
+    a hash of id and text is least, then where it comes first; null ids come last. Lines are
+    parted by line feeds and compared byte for byte. Null texts count as empty, and an empty
+    text is one empty line. A text of which all chunks go is empty. Rows with the same id and
+    unlike texts are documents of their own. Rows equal in both are one document: what one
+    loses, all lose, and a first place is one in each of them. Other columns are not looked
+    at; ids may be of any type that can be ordered. An empty table gives an empty result.
 
     Chunks are grouped by a 128-bit hash together with their bytes. Should two different
     chunks share a hash, both stay, whatever their number.
     """
-    docs = docs.select("doc_id", "text")
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "at")
-    chunk = _with_chunks(docs).select("doc_id", F.posexplode("chunks").alias("at", "chunk")).where("chunk.n > 1")
-    keyed = chunk.select(
-        "doc_id", "at", "chunk.lines",
+    row = ["r1", "r2"]
+    text = F.coalesce("text", F.lit(""))
+    hashes = (F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", text).alias(r) for seed, r in enumerate(row))
+    docs = docs.select("doc_id", "text", *hashes)
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", *row, "at")
+    exploded = _with_chunks(docs).select("doc_id", *row, F.posexplode("chunks").alias("at", "chunk"))
+    keyed = exploded.where("chunk.n > 1").select(
+        "doc_id", *row, "at", "chunk.lines",
         F.xxhash64("chunk.lines").alias("a"), F.xxhash64("chunk.lines", F.lit(1)).alias("b"),
     )
     compared = keyed.groupBy("a", "b", "lines").agg(
@@ -59,24 +64,21 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         compared.groupBy("a", "b")
         .agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.count(F.lit(1)).alias("texts"))
         .where("n > 1 AND texts = 1")
-        .select("a", "b", "first")
+        .select("a", "b", F.struct(*(F.col(f"first.{c}") for c in (*row, "at"))).alias("first"))
     )
-    places = materialize(keyed.select("doc_id", "at", "a", "b"), "chunk-places")
-    again = join_keyed(places, repeated, ["a", "b"]).where(F.col("first") != place)
-    gone = again.groupBy("doc_id").agg(F.collect_set("at").alias("gone")).withColumnRenamed("doc_id", "id")
-    whole = _with_chunks(docs)
-    joined = whole.join(gone, whole.doc_id.eqNullSafe(gone.id), "left").withColumn(
-        "gone", F.coalesce("gone", F.array().cast("array<int>"))
-    )
-    marked = F.transform("chunks", lambda c, i: F.struct(c["lines"], c["n"], F.array_contains("gone", i).alias("cut")))
-    marked = once(joined, "marked", marked)
+    places = materialize(keyed.select(*row, "at", "a", "b"), "chunk-places")
+    again = join_keyed(places, repeated, ["a", "b"]).where(F.col("first") != F.struct(*row, "at"))
+    gone = again.groupBy(*row).agg(F.collect_set("at").alias("gone"))
+    joined = _with_chunks(docs).join(gone, row, "left")
+    gone = F.coalesce("gone", F.array().cast("array<int>"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), gone)
+    at = lambda places: F.transform(places, lambda i: F.get("chunks", i))
+    split = once(once(joined, "kept", at(kept)), "cut", at(gone))
     total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, c: s + c["n"])
-    cut = F.filter("marked", lambda c: c["cut"])
-    kept = F.filter("marked", lambda c: ~c["cut"])
-    return marked.select(
+    return split.select(
         "doc_id",
-        total(F.col("marked")).alias("n_lines"),
-        total(cut).alias("n_removed_lines"),
-        F.size(cut).cast("bigint").alias("n_removed_chunks"),
-        F.array_join(F.transform(kept, lambda c: c["lines"]), "\n").alias("text"),
+        (total(F.col("kept")) + total(F.col("cut"))).alias("n_lines"),
+        total(F.col("cut")).alias("n_removed_lines"),
+        F.size("cut").cast("bigint").alias("n_removed_chunks"),
+        F.array_join(F.col("kept.lines"), "\n").alias("text"),
     )
