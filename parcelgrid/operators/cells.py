@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from parcelgrid.functions import expressions as X
 from parcelgrid.functions.geometry import once
+from parcelgrid.session import written
 
 KEY = "__cell"
 EDGES = "__edges"
@@ -36,6 +37,13 @@ HALF_RANGE = 1 << (CELL_BITS - 1)
 # Edges tested by plain generated code; the few cells with more keep the rest in an array.
 SLOTS = 4
 
+# Polygons of more vertices are indexed edge by edge, as rows, and not as one list.
+LARGE = 10_000
+HEAVY = 48
+DIVISIONS = 4
+# The rows of a cell that is divided take so many times as many bytes, as a rule.
+GROWTH = 5
+
 # Upper bounds in bytes for a cell row in a broadcast hash table, and for one more edge.
 ROW_BYTES = 256
 EDGE_BYTES = 64
@@ -57,6 +65,7 @@ class LevelStats:
 class PolygonStats:
     levels: list[LevelStats]
     srid: int | None
+    most_edges: int = 0
 
     def index_bytes(self, shift: int) -> int:
         return sum(level.bytes[shift] for level in self.levels)
@@ -140,6 +149,7 @@ def polygon_stats(polygons: DataFrame, payload: list[str]) -> PolygonStats:
             F.expr("count(1) AS polygons"),
             F.expr("min(srid) AS srid_min"),
             F.expr("max(srid) AS srid_max"),
+            F.expr(f"max(size({EDGES})) AS most_edges"),
             *sums,
         )
         .collect()
@@ -158,7 +168,8 @@ def polygon_stats(polygons: DataFrame, payload: list[str]) -> PolygonStats:
         )
         for r in sorted(rows, key=lambda r: r[LEVEL])
     ]
-    return PolygonStats(levels, next(iter(srids), None))
+    most_edges = max((r["most_edges"] for r in rows), default=0)
+    return PolygonStats(levels, next(iter(srids), None), most_edges)
 
 
 def _pack(level: str, cx: str, cy: str) -> str:
@@ -208,8 +219,7 @@ def most_in_a_cell(polygons: DataFrame, shift: int) -> int:
 
 # Where an edge runs inside the band, as first and last cell column, a little padded so
 # that rounding never drops a cell.
-_IN_BAND = f"""
-transform(filter({EDGES}, e -> e.y2 >= __bottom AND e.y1 < __top), e ->
+_EDGE_IN_BAND = """
   transform(array(CASE WHEN e.y1 = e.y2 THEN named_struct('a', e.x1, 'b', e.x2)
     ELSE named_struct(
       'a', e.x1 + (greatest(e.y1, __bottom) - e.y1) * ((e.x2 - e.x1) / (e.y2 - e.y1)),
@@ -218,7 +228,10 @@ transform(filter({EDGES}, e -> e.y2 >= __bottom AND e.y1 < __top), e ->
       'c0', floor(greatest(least(s.a, s.b), least(e.x1, e.x2)) / __side
                   - 1e-6 - abs(e.x1 / __side) * 1e-13),
       'c1', floor(least(greatest(s.a, s.b), greatest(e.x1, e.x2)) / __side
-                  + 1e-6 + abs(e.x1 / __side) * 1e-13)))[0])
+                  + 1e-6 + abs(e.x1 / __side) * 1e-13)))[0]
+"""
+_IN_BAND = f"""
+transform(filter({EDGES}, e -> e.y2 >= __bottom AND e.y1 < __top), e -> {_EDGE_IN_BAND})
 """
 
 # Per cell of the band: edges that may pass it, and the end heights of edges further
@@ -258,17 +271,36 @@ def _cut(bands: DataFrame, payload: list[str], kept: list[str], level: str) -> D
     return cells.select(*payload, *(c for c in kept if c == LEVEL), key, F.expr(_EDGES_OF_CELL))
 
 
-def polygon_cells(polygons: DataFrame, payload: list[str], shift: int, partitions: int) -> DataFrame:
+def polygon_cells(
+    polygons: DataFrame,
+    payload: list[str],
+    shift: int,
+    partitions: int,
+    large: bool = False,
+    limit: int = 0,
+) -> DataFrame:
     """The index: ``payload`` columns, level, key and edge list per polygon and cell.
 
     Each polygon row is worked on by itself, so equal polygons stay separate rows.
     ``partitions`` > 0 spreads the polygons before the work, for sets read from few files.
+    ``large`` says that some have more than ``LARGE`` edges; those are worked on as rows,
+    and their cells divided where an index of ``limit`` bytes has room.
     """
+    if large:
+        rows = large_polygon_cells(polygons, payload, shift, limit)
+        return rows.unionByName(_cells_by_list(polygons, payload, shift, partitions, True).drop(LEVEL))
+    return _cells_by_list(polygons, payload, shift, partitions, False)
+
+
+def _cells_by_list(
+    polygons: DataFrame, payload: list[str], shift: int, partitions: int, large: bool
+) -> DataFrame:
     if partitions:
         polygons = polygons.select(*payload, "geometry").repartition(partitions)
     side = _side(f"{LEVEL} + {shift}")
     bands = (
         _measured(polygons, payload)
+        .where(f"NOT {large} OR aggregate(flatten(g.parts), 0, (n, r) -> n + size(r) - 1) <= {LARGE}")
         .select("*", F.expr(f"{side} AS __side"))
         .select(
             *payload,
@@ -283,6 +315,78 @@ def polygon_cells(polygons: DataFrame, payload: list[str], shift: int, partition
     return _cut(bands, payload, [LEVEL], f"{LEVEL} + {shift}")
 
 
+def large_polygon_cells(polygons: DataFrame, payload: list[str], shift: int, limit: int) -> DataFrame:
+    """The same index for polygons of more than ``LARGE`` edges, which need not fit a task.
+
+    Edges travel as rows to the cells they may pass. Their end heights concern all cells
+    further left, but heights that occur twice cancel: first those of edges in one column,
+    which leaves little more than the places where the border changes column, and then those
+    of each cell. So no task holds more of a polygon than one cell's edges. Cells with more
+    than ``HEAVY`` edges are then divided, ``DIVISIONS`` times at most and within ``limit``
+    bytes; so the keys are of several levels.
+    """
+    shapes = _measured(polygons.select(*payload, "geometry"), payload)
+    shapes = shapes.select("*", F.expr(f"{X.edges('g.parts')} AS {EDGES}")).where(f"size({EDGES}) > {LARGE}")
+    shapes = written(
+        shapes.select(
+            F.monotonically_increasing_id().alias("__id"),
+            *payload,
+            LEVEL,
+            F.expr(f"{_side(f'{LEVEL} + {shift}')} AS __side"),
+            F.expr("g.bbox.xmin AS __xmin"),
+            F.expr("g.bbox.xmax AS __xmax"),
+            EDGES,
+        ),
+        "large-polygons",
+    )
+    heads = shapes.select("__id", *payload, LEVEL, "__side")
+    at = ["__id", "__cy"]
+    edges = (
+        shapes.select(
+            "__id",
+            "__side",
+            F.expr("floor(__xmin / __side) AS __cx0"),
+            F.expr("floor(__xmax / __side) AS __cx1"),
+            F.expr(f"explode({EDGES}) AS e"),
+        )
+        .select("*", F.expr("explode(sequence(floor(e.y1 / __side), floor(e.y2 / __side))) AS __cy"))
+        .select("*", F.expr("__cy * __side AS __bottom"), F.expr("(__cy + 1) * __side AS __top"))
+        .select(*at, "__cx0", "__cx1", "__bottom", "__top", once(F.expr(_EDGE_IN_BAND)).alias("e"))
+    )
+    edges = written(edges, "large-polygon-edges")
+    columns = "sequence(greatest(e.c0, __cx0), least(e.c1, __cx1))"
+    passed = edges.where("least(e.c1, __cx1) >= greatest(e.c0, __cx0)").select(
+        *at, F.expr(f"explode({columns}) AS __cx"), "e", F.lit(None).cast("double").alias("h")
+    )
+    ends = "array(greatest(least(e.y1, __top), __bottom), greatest(least(e.y2, __top), __bottom))"
+    odd = F.expr("count(1) % 2 = 1")
+    turns = edges.select(*at, "__cx0", "__cx1", F.expr("e.c0 AS c0"), F.expr(f"explode({ends}) AS h"))
+    turns = turns.groupBy(*at, "__cx0", "__cx1", "c0", "h").agg(odd.alias("odd")).where("odd AND c0 > __cx0")
+    left = turns.select(*at, F.expr("explode(sequence(__cx0, least(c0 - 1, __cx1))) AS __cx"), "h")
+    left = left.groupBy(*at, "__cx", "h").agg(odd.alias("odd")).where("odd")
+    left = left.select(*at, "__cx", F.lit(None).cast(edges.schema["e"].dataType).alias("e"), "h")
+    cells = passed.union(left).groupBy(*at, "__cx").agg(
+        F.array_sort(F.collect_list("e")).alias("through"), F.array_sort(F.collect_list("h")).alias("heights")
+    )
+    cell = F.expr("named_struct('cx', __cx, 'through', through, 'heights', heights) AS __c")
+    key = F.expr(f"{_pack(f'{LEVEL} + {shift}', '__c.cx', '__cy')} AS {KEY}")
+    rows = cells.select(*at, cell).join(heads, "__id").select(*payload, key, F.expr(_EDGES_OF_CELL))
+    heavy = f"size({EDGES}) > {HEAVY} AND {DIVISIBLE}"
+    size = row_bytes(payload)
+    rows = written(rows, "large-polygon-cells")
+    for _ in range(DIVISIONS):
+        total, to_cut = rows.agg(F.sum(size), F.sum(F.when(F.expr(heavy), size))).first()
+        if not to_cut or total + GROWTH * to_cut > limit:
+            break
+        rows = rows.where(f"NOT ({heavy})").union(divided(rows.where(heavy), payload))
+        rows = written(rows, "large-polygon-cells")
+    return rows
+
+
+def levels_of(index: DataFrame) -> list[int]:
+    return sorted(r[0] for r in index.select(F.expr(KEY_LEVEL)).distinct().collect())
+
+
 # What a key says: level, column and row of the cell.
 KEY_LEVEL = f"(CAST(shiftrightunsigned({KEY}, {2 * CELL_BITS}) AS INT) + {MIN_LEVEL})"
 _KEY_X = f"((shiftright({KEY}, {CELL_BITS}) & {2 * HALF_RANGE - 1}L) - {HALF_RANGE}L)"

@@ -92,14 +92,19 @@ def checked(srid: int, value: str) -> str:
     )
 
 
-def indexed(polygons: DataFrame, payload: list[str], plan: JoinPlan) -> DataFrame:
+def indexed(polygons: DataFrame, payload: list[str], plan: JoinPlan) -> tuple[DataFrame, list[int]]:
+    """The cell index, and the levels of its keys."""
     cells = plan.stats.index_cells(plan.shift)
     partitions = 0
     if cells >= SPREAD_FROM_CELLS:
         partitions = max(
             polygons.sparkSession.sparkContext.defaultParallelism, cells // SPREAD_FROM_CELLS
         )
-    return C.polygon_cells(polygons, payload, plan.shift, partitions)
+    large = plan.stats.most_edges > C.LARGE
+    index = C.polygon_cells(
+        polygons, payload, plan.shift, partitions, large, broadcast_limit(polygons)
+    )
+    return index, C.levels_of(index) if large else plan.levels
 
 
 def _no_pairs(spots: DataFrame, polygons: DataFrame, payload: list[str]) -> DataFrame:
@@ -110,18 +115,23 @@ def match_pairs(
     spots: DataFrame, polygons: DataFrame, payload: list[str], plan: JoinPlan
 ) -> DataFrame:
     """Rows of ``spots`` (any columns plus x and y) with the ``payload`` of each polygon hit."""
-    probes = spots.select("*", C.point_keys(X, Y, plan.levels)).where(f"{C.KEY} IS NOT NULL")
     kept = [*spots.columns, *payload]
 
-    if plan.strategy == "broadcast_points":
+    def probes_at(levels: list[int]) -> DataFrame:
+        return spots.select("*", C.point_keys(X, Y, levels)).where(f"{C.KEY} IS NOT NULL")
+
+    if plan.strategy == "broadcast_points" and plan.stats.most_edges <= C.LARGE:
         candidates = C.box_cells(polygons, payload, plan.shift)
-        pairs = candidates.join(F.broadcast(probes), C.KEY)
+        pairs = candidates.join(F.broadcast(probes_at(plan.levels)), C.KEY)
         return pairs.where(E.polygon_hit("g", X, Y)).select(*kept)
 
-    index = C.with_slots(indexed(polygons, payload, plan))
+    index, levels = indexed(polygons, payload, plan)
+    index, probes = C.with_slots(index), probes_at(levels)
     may_hit, hit = C.slots_may_hit(X, Y), C.slots_hit(X, Y)
     if plan.strategy == "broadcast_polygons":
         met = probes.join(F.broadcast(index), C.KEY).where(may_hit)
+    elif plan.strategy == "broadcast_points":
+        met = index.join(F.broadcast(probes), C.KEY).where(may_hit)
     else:
         met = split_join(probes, index, [C.KEY], condition=may_hit)
     # The second test needs a lambda, which has no generated code. The id, never negative

@@ -30,8 +30,6 @@ _BEST = "__best"
 # Candidates of one cell from which on it is cut finer, and how often at most.
 CROWD = 32
 ROUNDS = 8
-# A cut cell's rows become so many times as many bytes at most, as a rule.
-GROWTH = 5
 
 
 def spatial_lookup(
@@ -120,7 +118,7 @@ def arranged(index: DataFrame, payload: list[str], limit: int) -> tuple[DataFram
     rows, held, (levels, total, *to_cut) = measured(_undominated(index, payload))
     for _ in range(ROUNDS):
         # The most crowded cells come first where there is no room to cut them all.
-        fits = [which for which, size in zip(over, to_cut) if size and total + GROWTH * size <= limit]
+        fits = [which for which, size in zip(over, to_cut) if size and total + C.GROWTH * size <= limit]
         if not fits:
             break
         cut = held.where(fits[0]).select(C.KEY)
@@ -139,7 +137,7 @@ def _probe_cells(
     The lists are part of an index that is known to fit the broadcast limit, and all
     levels share one broadcast.
     """
-    rows, levels = indexed(parcels, payload, plan), plan.levels
+    rows, levels = indexed(parcels, payload, plan)
     if C.most_in_a_cell(parcels, plan.shift) > CROWD:
         rows, levels = arranged(rows, payload, broadcast_limit(spots))
     fields = ", ".join(f"'{name}', `{name}`" for name in payload)

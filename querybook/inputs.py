@@ -120,6 +120,14 @@ SELECT CASE floor(p_partkey / 1000) % 3
 FROM part
 """
 
+# Coasts: one polygon of up to 200,000 vertices, the land below a jagged line of orders.
+COAST = """
+SELECT CAST(floor(o_orderkey / 200000) AS BIGINT) AS coast, o_orderkey % 200000 AS k,
+       CAST(o_orderkey % 200000 AS DOUBLE) / 2048e0 AS x,
+       50e0 + CAST(o_orderkey % 4096 AS DOUBLE) / 256e0 + CAST(o_orderkey * 6151 % 64 AS DOUBLE) / 64e0 AS y
+FROM orders
+"""
+
 # Every order as a point of a lattice: many lie on edges and corners of tracts.
 LATTICE = """
 SELECT o_orderkey AS call_num,
@@ -208,6 +216,17 @@ def nested_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracts_from_wkt(table).drop("cx", "cy", "half", "wkt")
 
 
+def coasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vertex = F.struct("k", F.format_string("%s %s", F.col("x").cast("string"), F.col("y").cast("string")).alias("text"))
+    lines = _derive(spark, sf_dir, COAST, "orders").groupBy("coast").agg(
+        F.array_sort(F.collect_list(vertex)).alias("line"), F.max("x").alias("right")
+    )
+    wkt = F.concat(
+        F.lit("POLYGON((0 0, "), F.array_join("line.text", ", "), F.format_string(", %s 0, 0 0))", F.col("right").cast("string"))
+    )
+    return tracts_from_wkt(lines.select("coast", wkt.alias("wkt"))).drop("wkt")
+
+
 def parcel_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, PARCELS, "part")
 

@@ -173,6 +173,10 @@ ORACLES = {
     "hotspots_timestamp_cols": f"""
         SELECT n_nationkey, 1704067200000000 + k AS seen_micros, roadcall_count
         FROM ({_COUNTS}), (VALUES (1), (2)) v(k)""",
+    "hotspots_large_polygon": f"""
+        SELECT coast, count(call_num) AS roadcall_count
+        FROM ({I.CALLS}) c JOIN ({I.COAST}) t ON t.k = CAST(c.longitude * 2048 AS BIGINT)
+        WHERE c.latitude <= t.y GROUP BY coast""",
     "hotspots_zoned_timestamps": f"""
         SELECT n_nationkey, 1730611800 + 3600 * k AS seen_seconds, roadcall_count
         FROM ({_COUNTS}), (VALUES (0), (1)) v(k)""",

@@ -210,6 +210,12 @@ def hotspots_timestamp_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("n_nationkey", F.unix_micros("seen").alias("seen_micros"), "roadcall_count")
 
 
+def hotspots_large_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons of very many vertices, indexed edge by edge."""
+    counts = roadcalls_per_tract(I.call_points(spark, sf_dir), I.coasts(spark, sf_dir), ["coast"])
+    return counts.select("coast", "roadcall_count")
+
+
 def hotspots_zoned_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where clocks go back, the hour that comes twice is two instants, and two tract rows."""
     session = spark.newSession()
@@ -495,6 +501,7 @@ QUERIES = {
         hotspots_no_broadcast,
         hotspots_duplicate_tracts,
         hotspots_geometry_only,
+        hotspots_large_polygon,
         hotspots_timestamp_cols,
         hotspots_zoned_timestamps,
         hotspot_total,

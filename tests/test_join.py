@@ -126,6 +126,27 @@ def test_spread_index_is_the_same(random_polygons):
     assert rows(0) == rows(7)
 
 
+def test_edges_as_rows_give_the_same_index(spark, monkeypatch, random_polygons):
+    """Every cell has the same edges, whether a polygon is worked on as a list or as rows."""
+
+    def rows(large: bool):
+        index = C.polygon_cells(random_polygons, ["pid"], 0, 0, large)
+        return sorted((r["pid"], r[C.KEY], sorted(map(tuple, r[C.EDGES]))) for r in index.collect())
+
+    by_list = rows(False)
+    for edges in (0, 40):
+        monkeypatch.setattr(C, "LARGE", edges)
+        assert rows(True) == by_list
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES, indirect=True)
+def test_pairs_of_large_polygons(strategy, monkeypatch, random_points, random_polygons, expected):
+    monkeypatch.setattr(C, "LARGE", 20)
+    monkeypatch.setattr(C, "HEAVY", 2)
+    pairs = spatial_join(random_points, random_polygons, ["pid"], ["id"], strategy != "shuffle")
+    assert sorted((r["id"], r["pid"]) for r in pairs.collect()) == expected
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_boundary_points_count_for_each_polygon(spark, broadcast):
     fields = [

@@ -31,7 +31,7 @@ def _points(spark, spots):
 def _longest(points, parcels):
     plan = plan_join(points, parcels, ["parcel_id"])
     shapes = L._lowest_per_shape(parcels, ["parcel_id"])
-    rows, _ = L.arranged(indexed(shapes, ["parcel_id"], plan), ["parcel_id"], broadcast_limit(points))
+    rows, _ = L.arranged(indexed(shapes, ["parcel_id"], plan)[0], ["parcel_id"], broadcast_limit(points))
     before = C.polygon_cells(shapes, ["parcel_id"], plan.shift, 0)
     longest = [df.groupBy(C.KEY).count().agg(F.max("count")).first()[0] for df in (before, rows)]
     return (*longest, rows.count())
@@ -82,7 +82,7 @@ def test_parcels_through_one_corner_stop_dividing(spark, monkeypatch):
     boxes = [(i, (0, 0, 1 + i / 16, 1 + (80 - i) / 16)) for i in range(80)]
     spots = [(x / 16, y / 16) for x in range(-1, 60, 3) for y in range(-1, 60, 3)]
     _check(spark, boxes, spots)
-    monkeypatch.setattr(L, "GROWTH", 1 << 40)  # no room to divide: lists stay, answers too
+    monkeypatch.setattr(C, "GROWTH", 1 << 40)  # no room to divide: lists stay, answers too
     points, parcels = _check(spark, boxes, spots)
     assert _longest(points, parcels)[1] > L.CROWD
 
