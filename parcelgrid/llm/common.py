@@ -71,3 +71,34 @@ def join_keyed(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str = "i
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``withColumn`` behind a generator: the optimizer copies no generator into its readers."""
     return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, learn_from: Column, label: str, size: int, total: int, one: int
+) -> tuple[list[tuple], dict[int, int]]:
+    """(doc_id, text, label) of a bounded sample, and labelled rows of each label 0 and 1.
+
+    At most ``size`` labelled ids that ``learn_from`` picks from ``labels`` are taken by the
+    hash of the id, up to half of them of each label; of their texts those of at most ``one``
+    byte count, while there is room in ``total`` bytes, half of it for each label. Other
+    labels and null ids are left out; of labels that repeat an id the greatest counts, and of
+    texts that repeat one the least. Sorted by the hash of the id.
+    """
+    known = labels.where(f"{label} IN (0, 1) AND doc_id IS NOT NULL").where(learn_from)
+    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("_y"))
+    shares = {r["_y"]: r.n for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = F.xxhash64("doc_id"), F.col("doc_id")
+    halves = [known.where(F.col("_y") == y).orderBy(*order).limit(size // 2) for y in (0, 1)]
+    # at most ``size`` ids, so they may be broadcast
+    chosen = F.broadcast(halves[0].union(halves[1]))
+    found = docs.select("doc_id", doc_text().alias("text")).join(chosen, "doc_id")
+    found = found.where(F.octet_length("text") <= one).groupBy("doc_id", "_y").agg(F.min("text").alias("text"))
+    rows = materialize(found.select(F.xxhash64("doc_id").alias("at"), "doc_id", "_y", "text"), "labelled-sample")
+    listed = rows.select("at", "doc_id", "_y", F.octet_length("text").alias("n")).collect()
+    room, ids = {0: total // 2, 1: total // 2}, []
+    for r in sorted(listed, key=lambda r: (r["at"], r.doc_id)):
+        if room[r["_y"]] >= r.n:
+            room[r["_y"]] -= r.n
+            ids.append(r.doc_id)
+    few = rows.where(F.col("doc_id").isin(ids)).collect() if ids else []
+    return [(r.doc_id, r.text, r["_y"]) for r in sorted(few, key=lambda r: (r["at"], r.doc_id))], shares

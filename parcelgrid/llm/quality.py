@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelgrid.llm.common import materialize
+from parcelgrid.llm.common import labelled_sample
 
 SAMPLE = 4000  # labelled texts learnt from at most, half of them of each label
 SAMPLE_BYTES = 24 << 20  # of their texts together at most
@@ -201,37 +201,13 @@ class Scorer:
         return combined(self.net, pooled(np.concatenate(best), counts)[2])[1]
 
 
-def _sample(
-    docs: DataFrame, labels: DataFrame, learn_from: Column, label: str, size: int
-) -> tuple[list[bytes], np.ndarray, dict[int, int]]:
-    """Texts and labels learnt from, in an order of their own, and labelled rows of each label."""
-    known = labels.where(f"{label} IN (0, 1) AND doc_id IS NOT NULL").where(learn_from)
-    known = known.groupBy("doc_id").agg(F.min(label).cast("int").alias("_y"))
-    shares = {r["_y"]: r.n for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    halves = [known.where(F.col("_y") == y).orderBy(*order).limit(size // 2) for y in (0, 1)]
-    # at most ``size`` ids, so they may be broadcast
-    chosen = F.broadcast(halves[0].union(halves[1]))
-    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
-    found = found.where(F.octet_length("text") <= SAMPLE_TEXT).groupBy("doc_id", "_y").agg(F.min("text").alias("text"))
-    rows = materialize(found.select(F.xxhash64("doc_id").alias("at"), "doc_id", "_y", "text"), "quality-sample")
-    listed = rows.select("at", "doc_id", "_y", F.octet_length("text").alias("n")).collect()
-    within: dict[int, list] = {0: [], 1: []}
-    room = {0: SAMPLE_BYTES // 2, 1: SAMPLE_BYTES // 2}
-    for r in sorted(listed, key=lambda r: (r["at"], r.doc_id)):
-        if room[r["_y"]] >= r.n:
-            room[r["_y"]] -= r.n
-            within[r["_y"]].append(r.doc_id)
-    few = rows.where(F.col("doc_id").isin([*within[0], *within[1]])) if within[0] or within[1] else rows.limit(0)
-    got = sorted(few.collect(), key=lambda r: (r["at"], r.doc_id))
-    return [r.text.encode("utf-8", "surrogatepass") for r in got], np.array([r["_y"] for r in got], float), shares
-
-
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, label: str = "quality", size: int = SAMPLE) -> Net | float:
     """The trained network; a number, the share of label 1, where one label has no text to learn from."""
-    texts, y, shares = _sample(docs, labels, learn_from, label, size)
+    rows, shares = labelled_sample(docs, labels, learn_from, label, size, SAMPLE_BYTES, SAMPLE_TEXT)
+    y = np.array([r[2] for r in rows], float)
     if len(set(y.tolist())) < 2:
         return shares.get(1, 0) / sum(shares.values()) if shares else 0.5
+    texts = [t.encode("utf-8", "surrogatepass") for _, t, _ in rows]
     per_row = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     return train(texts, y, per_row)
 
@@ -247,7 +223,7 @@ def with_quality(
     """``docs`` with ``name``: the probability, 0 to 1, that ``label`` is 1.
 
     ``learn_from`` is a condition on ``labels`` (doc_id of any type, ``label``). Labels other
-    than 0 and 1 and null ids are not learnt from; of labels that repeat an id, the least
+    than 0 and 1 and null ids are not learnt from; of labels that repeat an id, the greatest
     counts, and of texts that repeat one, the least. At most ``size`` labelled
     rows are learnt from (``SAMPLE_BYTES`` in all, texts over ``SAMPLE_TEXT`` left out),
     taken by the hash of their id; both labels have the same weight, so the probability is

@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine.
 
-A bounded sample of labelled rows, as many of each label as there are up to half the bound
-and no near copies, is indexed under the terms that tell the labels apart beyond chance: for
+A bounded sample of labelled rows, as many of each label as there are up to half the bound,
+is indexed under the terms that tell the labels apart beyond chance (under all terms, the
+nearest examples are those that share rare words of any kind; README has the figures): for
 every term a list of examples with weights, in blocks of examples, and the largest weight in
 each block. The largest weights bound the cosine of a document with any
 example of a block; blocks are scored in order of that bound until no block left can hold
@@ -20,14 +21,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from parcelgrid.llm.common import labelled_sample
 from parcelgrid.llm.simhash import bits_apart, fingerprint
 
 SAMPLE = 4000  # labelled examples at most
-SAMPLE_BYTES = 64 << 20  # of their texts at most
-MAX_DF = 0.2  # terms in a larger share of all documents are stop words
+SAMPLE_BYTES = 64 << 20  # of their texts together at most
+SAMPLE_TEXT = 1 << 20  # of one of them at most
 CHI2 = 25.0  # a term's least association with the label: chance passes one in 2 million
-COPY_BITS = 8  # of two examples whose SimHash differs in no more bits, one counts
+COPY_BITS = 8  # of two examples whose SimHash differs in no more bits, one tells words apart
 NEAREST = 15
 BLOCK = 64
 _WORD = re.compile(r"\w+")
@@ -128,37 +132,15 @@ class Examples:
         return float((weight * self.labels[found]).sum() / total) if total else 0.0
 
 
-def _sample(docs: DataFrame, labels: DataFrame, learn_from: Column, size: int) -> tuple[list, dict]:
-    """Bounded examples (doc_id, text, toxic) and how many labelled rows there are of each label."""
-    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(learn_from)
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    shares = {int(r.toxic): r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen = None
-    for label in sorted(shares):
-        some = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size // 2)
-        chosen = some if chosen is None else chosen.union(some)
-    if chosen is None:
-        return [], shares
-    ids = [(r.doc_id, int(r.toxic)) for r in chosen.collect()]  # at most ``size`` of them
-    rows = docs.where(F.col("doc_id").isin([i for i, _ in ids])).select(
-        "doc_id", "text", F.octet_length("text").alias("n")
-    )
-    rows = rows.dropDuplicates(["doc_id"])
-    if (rows.agg(F.sum("n")).first()[0] or 0) > SAMPLE_BYTES:
-        return _sample(docs, labels, learn_from, size // 2)
-    of = dict(ids)
-    return sorted((r.doc_id, r.text or "", of[r.doc_id]) for r in rows.collect()), shares
-
-
-def _without_copies(rows: list) -> list:
-    """Near copies would make every word they share look telling; the first of them stays."""
-    prints, kept = np.zeros(0, np.int64), []
-    for row in rows:
-        own = fingerprint(row[1].encode("utf-8", "surrogatepass"), 3)
+def _first_of_copies(texts: list[str]) -> list[int]:
+    """Places of texts that are no near copy of an earlier one."""
+    prints, first = np.zeros(0, np.int64), []
+    for place, text in enumerate(texts):
+        own = fingerprint(text.encode("utf-8", "surrogatepass"), 3)
         if not len(prints) or bits_apart(prints, np.array([own], np.int64)).min() > COPY_BITS:
             prints = np.append(prints, np.int64(own))
-            kept.append(row)
-    return kept
+            first.append(place)
+    return first
 
 
 def telling_terms(counts: list[Counter], labels: np.ndarray) -> list[str]:
@@ -203,13 +185,14 @@ def _document_frequencies(docs: DataFrame, words: list[str]) -> tuple[np.ndarray
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, size: int = SAMPLE) -> dict:
     """The examples, the weights of their terms and the calibration."""
-    rows, shares = _sample(docs, labels, learn_from, size)
-    rows = _without_copies(rows)
+    rows, shares = labelled_sample(docs, labels, learn_from, "toxic", size, SAMPLE_BYTES, SAMPLE_TEXT)
     counts = [terms(t) for _, t, _ in rows]
     y = np.array([label for _, _, label in rows], float)
-    words = telling_terms(counts, y)
+    # copies are examples like all others, but would make every word they share look telling
+    apart = _first_of_copies([t for _, t, _ in rows])
+    words = telling_terms([counts[i] for i in apart], y[apart])
     df, n = _document_frequencies(docs, words)
-    idf = {w: float(np.log((1 + n) / (1 + d))) for w, d in zip(words, df) if d <= MAX_DF * max(n, 1)}
+    idf = {w: float(np.log((1 + n) / (1 + d))) for w, d in zip(words, df)}
     ids = [i for i, _, _ in rows]
     base = shares.get(1, 0) / max(1, sum(shares.values()))
     if len(set(y.tolist())) < 2:  # one label only, or none
@@ -234,8 +217,9 @@ def with_scores(
 ) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``evidence`` (examples and cosines, nearest first).
 
-    ``learn_from`` is a condition on ``labels`` (doc_id, toxic). Of labels that repeat an id,
-    a 1 wins; null labels and ids are not used. A text without any telling term (empty, null,
+    ``learn_from`` is a condition on ``labels`` (doc_id of any type, toxic). Of labels that
+    repeat an id, a 1 wins, and of texts, the least; other labels than 0 and 1 and null ids are
+    not used, nor are labelled texts over ``SAMPLE_TEXT`` bytes. A text without any telling term (empty, null,
     all unknown) scores the share of 1 among such examples; if there are no examples of both
     labels, all score the labelled share of 1. ``size`` bounds the labelled rows that are indexed; word counts
     are over all documents, and every document is scored whole. Repeated rows each give a
@@ -245,6 +229,8 @@ def with_scores(
     docs = docs.drop(*names)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, learn_from, size))
     place = docs.columns.index("text")
+    id_kind = docs.schema["doc_id"].dataType
+    id_type = to_arrow_type(id_kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, base = model.value["index"], model.value["base"]
@@ -260,7 +246,7 @@ def with_scores(
                 evidence.append(
                     [{"doc_id": examples.ids[i], "cosine": float(c)} for i, c in zip(*near)]
                 )
-            kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
+            kind = pa.list_(pa.struct([("doc_id", id_type), ("cosine", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64()), pa.array(evidence, kind)],
                 names=[*batch.schema.names, *names],
@@ -269,7 +255,7 @@ def with_scores(
     added = docs.withColumns(
         {
             names[0]: F.lit(0.0),
-            names[1]: F.array().cast("array<struct<doc_id:bigint,cosine:double>>"),
+            names[1]: F.array().cast(T.ArrayType(T.StructType().add("doc_id", id_kind).add("cosine", "double"))),
         }
     )
     return docs.mapInArrow(run, added.schema)
