@@ -58,8 +58,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     Texts are equal if they are the same without the characters ``[\\x20\\x09-\\x0D]``; the
     row with most code points, then the smallest doc_id, stays. Null texts count as empty,
     and all empty texts are equal. A null doc_id comes after every other; ``keep_id`` is null
-    only if all ids of the group are. Rows that repeat a doc_id with equally long text are
-    one document: they share its ``kept``. Other columns of ``docs`` are not looked at. An
+    only if all ids of the group are. Of rows that repeat a doc_id with equally long text the
+    first as written stays, so one row of each group is ``kept``. Other columns of ``docs`` are not looked at. An
     empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
@@ -70,18 +70,19 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     rows = materialize(
         with_chunks(docs).select(
             "doc_id",
+            F.monotonically_increasing_id().alias("row"),  # written with the row, so it stays
             F.char_length(doc_text()).alias("length"),
             F.sha2(F.array_join("chunks", ""), 256).alias("text_sha256"),
             F.struct(first.alias("a"), second.alias("b")).alias("recipe"),
         ),
         "recipes",
     )
-    best = F.min(F.struct((-F.col("length")).alias("l"), F.col("doc_id").isNull().alias("n"), "doc_id"))
+    best = F.min(F.struct((-F.col("length")).alias("l"), F.col("doc_id").isNull().alias("n"), "doc_id", "row"))
     groups = rows.groupBy("recipe").agg(
         best.alias("best"), F.count(F.lit(1)).alias("group_size")
     )
     joined = join_keyed(rows, groups, ["recipe"])
-    stays = (F.col("best.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("best.l") == -F.col("length"))
+    stays = F.col("best.row") == F.col("row")
     return joined.select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
@@ -100,6 +101,7 @@ g AS (
   SELECT text_sha256, count(*) AS group_size,
          arg_min(doc_id, struct_pack(l := -n, d := doc_id)) AS keep_id
   FROM t GROUP BY text_sha256)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
+SELECT doc_id, keep_id, group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) = 1 AS kept, text_sha256
 FROM t JOIN g USING (text_sha256)
 """

@@ -25,10 +25,13 @@ def exact_by_force(rows):
     for i, t in rows:
         groups[plain(t)].append((-len(t or ""), i is None, i or 0, i))
     out = []
+    taken = set()
     for i, t in rows:
         best = min(groups[plain(t)])
-        own = (-len(t or ""), i is None, i or 0, i)
-        out.append((i, best[3], len(groups[plain(t)]), own == best, hashlib.sha256(plain(t).encode()).hexdigest()))
+        stays = (-len(t or ""), i is None, i or 0, i) == best and plain(t) not in taken
+        if stays:
+            taken.add(plain(t))
+        out.append((i, best[3], len(groups[plain(t)]), stays, hashlib.sha256(plain(t).encode()).hexdigest()))
     return Counter(out)
 
 
@@ -42,6 +45,12 @@ def test_exact_duplicates(docs, awkward):
     assert Counter(map(tuple, got)) == exact_by_force(rows)
 
 
+def test_one_row_of_repeated_rows_stays(docs):
+    rows = [(1, "same text"), (1, "same text"), (1, "sametext"), (None, "other"), (None, "other"), (1, "unlike")]
+    got = exact_dedup.exact_duplicates(docs(rows)).where("kept").collect()
+    assert Counter((r.keep_id, r.group_size) for r in got) == Counter([(1, 3), (None, 2), (1, 1)])
+
+
 def test_exact_duplicates_empty_and_clashing_columns(docs):
     empty = exact_dedup.exact_duplicates(docs([]))
     assert empty.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"] and empty.count() == 0

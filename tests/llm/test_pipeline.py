@@ -34,6 +34,20 @@ def test_stages_take_effect_and_keep_the_columns(spark, docs, tmp_path):
     assert packed.groupBy("sequence_id").sum("length").where(f"`sum(length)` > {packing.LENGTH}").count() == 0
 
 
+def test_stages_keep_rows_not_ids(spark, docs, tmp_path):
+    """Null and shared ids: a row goes or stays by its own text."""
+    words = [" ".join(f"w{(i * 31 + k * k) % 997}" for k in range(60)) for i in range(6)]
+    rows = [(1, words[0]), (1, words[0]), (2, words[1]), (3, words[1]), (3, words[2]), (None, words[3]), (None, words[0]), (None, words[4])]
+    docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    frame = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    once = corpus_pipeline.drop_exact_copies(spark, frame, str(tmp_path))
+    assert once.columns == frame.columns
+    assert sorted(r.text for r in once.collect()) == sorted({t for _, t in rows})
+    near = docs([(1, words[0]), (1, words[0] + " "), (None, words[0].upper()), (None, words[5]), (7, words[5] + "\n"), (7, words[2])])
+    kept = corpus_pipeline.drop_near_copies(spark, near, str(tmp_path)).collect()
+    assert sorted(" ".join(r.text.lower().split()) for r in kept) == sorted([words[0], words[5], words[2]])
+
+
 def test_stages_on_nothing(spark, docs, tmp_path):
     docs([]).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
