@@ -10,13 +10,23 @@ from parcelgrid.llm import decontaminate, exact_dedup, packing, simhash, toxicit
 from parcelgrid.llm.common import materialize, read, remainder_of_id
 from parcelgrid.llm.queries import TOKENIZER, TOXIC
 
-_SCORE, _EVIDENCE, _LEAKS = "_toxicity_score", "_toxicity_evidence", "_benchmark_leaks"
+_SCORE, _EVIDENCE, _LEAKS, _ROW = "_toxicity_score", "_toxicity_evidence", "_benchmark_leaks", "_row"
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id, which may be null, is among ``ids``."""
-    ids = ids.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs.doc_id.eqNullSafe(ids["_kept_id"]), "left_semi")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written with a number for every row: ids may be null or shared."""
+    return materialize(docs.select("*", F.monotonically_increasing_id().alias(_ROW)), "numbered")
+
+
+def _by_row(numbered: DataFrame) -> DataFrame:
+    """Texts by row number, as the operators on documents take them."""
+    return numbered.select(F.col(_ROW).alias("doc_id"), "text")
+
+
+def _keep(numbered: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of ``numbered`` whose number is among the doc_id of ``rows``."""
+    kept = numbered.join(rows.select(F.col("doc_id").alias(_ROW)), _ROW, "left_semi")
+    return kept.select(*(c for c in numbered.columns if c != _ROW))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,14 +37,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts; rows that repeat a doc_id go together."""
-    return _keep(docs, exact_dedup.exact_duplicates(docs).where("kept"))
+    """One row of each group of equal texts."""
+    rows = _numbered(docs)
+    return _keep(rows, exact_dedup.exact_duplicates(_by_row(rows)).where("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each group of near copies."""
-    groups = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    return _keep(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """The first row of each group of near copies."""
+    rows = _numbered(docs)
+    groups = simhash.near_duplicates(_by_row(rows), shingle=3, max_bits=2)
+    return _keep(rows, groups.where("doc_id = component_id"))
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
