@@ -1,9 +1,10 @@
 """Python data source ``geoparquet``: a sink for GeoParquet 1.0.0.
 
-Tasks write files with WKB geometry and the ``geo`` footer key into a staging folder of
-the target. The driver moves them in place once all tasks are done, and only then
-removes the files they replace. A lost or repeated task leaves nothing behind: only
-files named in a commit message are moved.
+Tasks write files with WKB geometry and the ``geo`` footer key into a job folder beside the
+target, which the driver has made. Once all tasks are done and files that no commit message
+names are gone, an overwrite puts the job folder in the target's place by renaming: a reader
+finds the old files or the new ones, never both, and of two writers at once the last one's.
+An append, or an object store that cannot rename folders, moves the files one by one.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ VERSION = "1.0.0"
 _WKB_TYPE = {POINT: 1, POLYGON: 3, MULTIPOLYGON: 6}
 _FOOTER_NAME = {POINT: "Point", POLYGON: "Polygon", MULTIPOLYGON: "MultiPolygon"}
 _LITTLE_ENDIAN = b"\x01"
+# File systems whose folders move by one rename.
+_RENAMES_FOLDERS = ("local", "hdfs")
+_ATTEMPTS = 100
 
 
 def _is_geometry(data_type: T.DataType) -> bool:
@@ -130,7 +134,9 @@ class GeoParquetDataSource(DataSource):
         if not any(_is_geometry(f.dataType) for f in schema.fields):
             raise ValueError("GeoParquet needs a geometry column")
         compression = self.options.get("compression", "snappy")
-        return _GeoParquetWriter(self.options["path"], schema, overwrite, compression)
+        writer = _GeoParquetWriter(self.options["path"], schema, overwrite, compression)
+        writer.make_folder()
+        return writer
 
 
 class _GeoParquetWriter(DataSourceArrowWriter):
@@ -142,7 +148,13 @@ class _GeoParquetWriter(DataSourceArrowWriter):
 
     def _target(self) -> tuple[pafs.FileSystem, str, str]:
         fs, root = _filesystem(self.path)
-        return fs, root, f"{root}/_staging-{self.job}"
+        parent, _, name = root.rpartition("/")
+        return fs, root, f"{parent}/_{name}-writing-{self.job}"
+
+    def make_folder(self) -> None:
+        """Made once, on the driver: a task that runs on after an abort cannot make it anew."""
+        fs, _, folder = self._target()
+        fs.create_dir(folder, recursive=True)
 
     def _file_schema(self) -> pa.Schema:
         return pa.schema(
@@ -159,12 +171,11 @@ class _GeoParquetWriter(DataSourceArrowWriter):
         return {"geo": json.dumps(geo)}
 
     def _write_file(self, name: str, batches: Iterator[pa.RecordBatch]) -> None:
-        fs, _, staging = self._target()
-        fs.create_dir(staging, recursive=True)
+        fs, _, folder = self._target()
         schema = self._file_schema()
         extents = {name: _Extent() for name in self.geometry}
         with (
-            fs.open_output_stream(f"{staging}/{name}") as out,
+            fs.open_output_stream(f"{folder}/{name}") as out,
             pq.ParquetWriter(out, schema, compression=self.compression) as writer,
         ):
             for batch in batches:
@@ -193,28 +204,60 @@ class _GeoParquetWriter(DataSourceArrowWriter):
         return _Written([name])
 
     def commit(self, messages: list[_Written | None]) -> None:
-        fs, root, staging = self._target()
+        fs, root, folder = self._target()
         names = [name for m in messages if m is not None for name in m.files]
         if not names:
             # An empty result still leaves a file that says what its columns are.
             names = [f"part-00000-{uuid.uuid4().hex}.parquet"]
             self._write_file(names[0], iter(()))
-        replaced = []
-        if self.overwrite:
-            entries = fs.get_file_info(pafs.FileSelector(root))
-            replaced = [e for e in entries if e.path.split("/")[-1] != f"_staging-{self.job}"]
-        for name in names:
-            fs.move(f"{staging}/{name}", f"{root}/{name}")
-        for entry in replaced:
-            if entry.type == pafs.FileType.Directory:
-                fs.delete_dir(entry.path)
-            else:
-                fs.delete_file(entry.path)
-        fs.delete_dir(staging)
-        with fs.open_output_stream(f"{root}/_SUCCESS"):
+        for entry in fs.get_file_info(pafs.FileSelector(folder)):
+            if entry.base_name not in names:
+                fs.delete_file(entry.path)  # of a repeated or failed attempt
+        with fs.open_output_stream(f"{folder}/_SUCCESS"):
             pass
+        if self.overwrite and fs.type_name in _RENAMES_FOLDERS:
+            self._replace(fs, root, folder)
+        else:
+            self._move_files(fs, root, folder, names)
+
+    def _replace(self, fs: pafs.FileSystem, root: str, folder: str) -> None:
+        for attempt in range(_ATTEMPTS):
+            if fs.get_file_info(root).type != pafs.FileType.NotFound:
+                old = f"{folder}-old-{attempt}"
+                try:
+                    fs.move(root, old)
+                except FileNotFoundError:
+                    pass  # another writer was faster
+                else:
+                    self._delete(fs, old)
+            try:
+                fs.move(folder, root)
+                return
+            except OSError:  # another writer has put its folder there
+                if attempt == _ATTEMPTS - 1:
+                    raise
+
+    def _move_files(self, fs: pafs.FileSystem, root: str, folder: str, names: list[str]) -> None:
+        fs.create_dir(root, recursive=True)
+        replaced = fs.get_file_info(pafs.FileSelector(root)) if self.overwrite else []
+        for name in [*names, "_SUCCESS"]:
+            fs.move(f"{folder}/{name}", f"{root}/{name}")
+        for entry in replaced:
+            if entry.base_name != "_SUCCESS":
+                self._delete(fs, entry.path)
+        fs.delete_dir(folder)
+
+    @staticmethod
+    def _delete(fs: pafs.FileSystem, path: str) -> None:
+        if fs.get_file_info(path).type == pafs.FileType.Directory:
+            fs.delete_dir(path)
+        else:
+            fs.delete_file(path)
 
     def abort(self, messages: list[_Written | None]) -> None:
-        fs, _, staging = self._target()
-        if fs.get_file_info(staging).type == pafs.FileType.Directory:
-            fs.delete_dir(staging)
+        fs, _, folder = self._target()
+        if fs.get_file_info(folder).type == pafs.FileType.Directory:
+            try:
+                fs.delete_dir(folder)
+            except OSError:  # a task has just written one more file
+                fs.delete_dir(folder)

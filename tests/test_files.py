@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import sys
+import threading
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from parcelgrid.functions import st_astext, st_geomfromtext
 from parcelgrid.operators import roadcalls_per_tract, within_last_year
 from parcelgrid.sinks import write_csv, write_geoparquet, write_table
+from parcelgrid.sinks.geoparquet import GeoParquetDataSource, _Written
 from parcelgrid.sources import (
     list_tables,
     read_points_csv,
     read_points_table,
     read_tracts_shapefile,
 )
+from parcelgrid.types import GEOMETRY_TYPE
 from querybook.shapewriter import shapefile_bytes
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "jobs"))
@@ -68,7 +75,11 @@ def test_geoparquet(spark, tmp_path):
     assert kinds == {"Point", "Polygon", "MultiPolygon"}
     assert min(b[0] for b in boxes) == -3 and max(b[3] for b in boxes) == 7
     assert (Path(path) / "_SUCCESS").exists()
-    assert not list(Path(path).glob("_staging*"))
+    assert not _leftovers(tmp_path)
+
+
+def _leftovers(folder):
+    return [p.name for p in Path(folder).iterdir() if p.name.startswith("_")]
 
 
 def test_geoparquet_overwrite_and_failure(spark, tmp_path):
@@ -80,7 +91,7 @@ def test_geoparquet_overwrite_and_failure(spark, tmp_path):
         write_geoparquet(bad, path)
     # The failed write left the old result, and nothing else.
     assert spark.read.parquet(path).count() == 4
-    assert not list(Path(path).glob("_staging*"))
+    assert not _leftovers(tmp_path)
     write_geoparquet(frame.limit(1), path)
     assert spark.read.parquet(path).count() == 1
     (file,) = Path(path).glob("*.parquet")
@@ -92,6 +103,65 @@ def test_geoparquet_overwrite_and_failure(spark, tmp_path):
         write_geoparquet(frame.select("id"), path)
 
 
+def _geo_writer(path, overwrite=True):
+    schema = T.StructType().add("id", "long").add("geometry", GEOMETRY_TYPE)
+    return GeoParquetDataSource({"path": str(path)}).writer(schema, overwrite)
+
+
+def _geo_files(writer, ids):
+    """One file per id, as tasks write them."""
+    names = []
+    for i in ids:
+        row = {"id": i, "geometry": {"srid": 4326, "kind": "POINT", "parts": None, "bbox": dict(xmin=i, ymin=i, xmax=i, ymax=i)}}
+        batch = pa.RecordBatch.from_pylist([row], to_arrow_schema(writer.schema))
+        names.append(f"part-{i}-{writer.job}.parquet")
+        writer._write_file(names[-1], iter([batch]))
+    return [_Written([n]) for n in names]
+
+
+def test_geoparquet_tasks_that_run_on_after_an_abort(tmp_path):
+    for k in range(50):
+        path = tmp_path / f"out{k}"
+        writer = _geo_writer(path)
+        _geo_files(writer, [1, 2])
+        late = threading.Thread(target=_try, args=(lambda w=writer: _geo_files(w, range(3, 40)),))
+        late.start()
+        writer.abort([])
+        late.join()
+    assert not list(tmp_path.iterdir())
+
+
+def _try(action):
+    with contextlib.suppress(OSError):
+        action()
+
+
+def test_geoparquet_of_two_writers_one_whole_result_stays(tmp_path):
+    path = tmp_path / "out"
+    first = _geo_writer(path)
+    first.commit(_geo_files(first, [0]))
+    for k in range(30):
+        writers = [_geo_writer(path) for _ in range(3)]
+        written = [_geo_files(w, [10 * n + j for j in range(4)]) for n, w in enumerate(writers)]
+        _geo_files(writers[0], [999])  # of a task that was run again: in no message
+        threads = [threading.Thread(target=w.commit, args=(m,)) for w, m in zip(writers, written)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        ids = sorted(pq.read_table(f)["id"][0].as_py() for f in path.glob("*.parquet"))
+        assert ids in [[10 * n + j for j in range(4)] for n in range(3)]
+        assert (path / "_SUCCESS").exists() and not _leftovers(tmp_path)
+
+
+def test_geoparquet_append_keeps_what_is_there(tmp_path):
+    path = tmp_path / "out"
+    for ids in ([1, 2], [3]):
+        writer = _geo_writer(path, overwrite=False)
+        writer.commit(_geo_files(writer, ids))
+    assert len(list(path.glob("*.parquet"))) == 3 and not _leftovers(tmp_path)
+
+
 def test_shapefile(spark, tmp_path):
     shell = [(0.0, 0.0), (0.0, 4.0), (4.0, 4.0), (4.0, 0.0), (0.0, 0.0)]
     hole = [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0), (1.0, 1.0)]
