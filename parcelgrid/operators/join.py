@@ -6,13 +6,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelgrid.functions import expressions as E
 from parcelgrid.functions.geometry import once, record
 from parcelgrid.operators import cells as C
 from parcelgrid.operators.skew import split_join
+from parcelgrid.session import written
 
-X, Y = "__x", "__y"
+X, Y, ROW = "__x", "__y", "__row"
 
 BROADCAST_LIMIT_CONF = "spark.parcelgrid.broadcastLimit"
 # Spread polygons over tasks before indexing when at least this many cells come out.
@@ -45,7 +47,7 @@ def plan_join(
     """Measure the polygon side, then choose.
 
     1. The polygon index fits the limit (if need be with coarser cells): broadcast it.
-    2. The points fit: broadcast them, and stream over the polygons.
+    2. The points fit, that is, their coordinates: broadcast them, and stream over the polygons.
     3. Neither, or ``broadcast=False``: shuffle both on cells, hot cells split.
     """
     stats = C.polygon_stats(polygons, payload)
@@ -55,8 +57,8 @@ def plan_join(
             if stats.index_bytes(shift) <= limit:
                 return JoinPlan("broadcast_polygons", shift, stats)
         row_limit = limit // (C.ROW_BYTES * max(1, len(stats.levels)))
-        # Reads partitions only until there are too many rows.
-        if not points.select(F.lit(1)).offset(row_limit).take(1):
+        # Counted in tasks, each of which stops where there are too many rows.
+        if points.select().limit(row_limit + 1).count() <= row_limit:
             return JoinPlan("broadcast_points", 2, stats)
     # The finest cells that do not repeat polygons too often in the shuffle.
     polygons = sum(level.polygons for level in stats.levels)
@@ -111,11 +113,29 @@ def _no_pairs(spots: DataFrame, polygons: DataFrame, payload: list[str]) -> Data
     return spots.join(polygons.select(*payload), F.lit(False)).drop(X, Y)
 
 
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Columns of fixed size that a broadcast point may carry: with its key they fit C.ROW_BYTES.
+CARRIED = 8
+
+
+def _small_rows(spots: DataFrame) -> bool:
+    own = [f for f in spots.schema if f.name not in (X, Y)]
+    return len(own) <= CARRIED and all(isinstance(f.dataType, _FIXED) for f in own)
+
+
 def match_pairs(
     spots: DataFrame, polygons: DataFrame, payload: list[str], plan: JoinPlan
 ) -> DataFrame:
-    """Rows of ``spots`` (any columns plus x and y) with the ``payload`` of each polygon hit."""
+    """Rows of ``spots`` (any columns plus x and y) with the ``payload`` of each polygon hit.
+
+    Where points are broadcast, only coordinates and a row number go, unless the other
+    columns are small; the rest is attached to the pairs by that number.
+    """
     kept = [*spots.columns, *payload]
+    if plan.strategy == "broadcast_points" and not _small_rows(spots):
+        numbered = written(spots.select("*", F.monotonically_increasing_id().alias(ROW)), "points")
+        pairs = match_pairs(numbered.select(ROW, X, Y), polygons, payload, plan)
+        return pairs.drop(X, Y).join(numbered, ROW).select(*kept)
 
     def probes_at(levels: list[int]) -> DataFrame:
         return spots.select("*", C.point_keys(X, Y, levels)).where(f"{C.KEY} IS NOT NULL")

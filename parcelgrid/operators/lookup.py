@@ -170,5 +170,6 @@ def _by_spot(
     pairs = match_pairs(distinct, parcels, payload, plan)
     best = pairs.groupBy(X, Y).agg(F.min(F.struct(*payload)).alias(_BEST))
     if plan.strategy == "broadcast_points":
-        return spots.join(F.broadcast(best), [X, Y], "left")
+        # Few rows, but their attributes may be wide: Spark broadcasts them if they are small.
+        return spots.join(best, [X, Y], "left")
     return split_join(spots, best, [X, Y], how="left", split_right=False)

@@ -128,6 +128,15 @@ SELECT CAST(floor(o_orderkey / 200000) AS BIGINT) AS coast, o_orderkey % 200000
 FROM orders
 """
 
+# Depots: a point per supplier, with a column of ten thousand characters.
+DEPOTS = """
+SELECT s_suppkey,
+       CAST(s_suppkey * 7919 % 6400 AS DOUBLE) / 128e0 AS longitude,
+       CAST(s_suppkey * 3571 % 6400 AS DOUBLE) / 128e0 AS latitude,
+       repeat(s_name, 550) AS notes
+FROM supplier
+"""
+
 # Every order as a point of a lattice: many lie on edges and corners of tracts.
 LATTICE = """
 SELECT o_orderkey AS call_num,
@@ -150,6 +159,10 @@ def call_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_point_geometry(calls(spark, sf_dir))
 
 
+def depot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return add_point_geometry(_derive(spark, sf_dir, DEPOTS, "supplier"))
+
+
 def lattice_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_point_geometry(_derive(spark, sf_dir, LATTICE, "orders"))
 

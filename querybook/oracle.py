@@ -173,6 +173,10 @@ ORACLES = {
     "hotspots_timestamp_cols": f"""
         SELECT n_nationkey, 1704067200000000 + k AS seen_micros, roadcall_count
         FROM ({_COUNTS}), (VALUES (1), (2)) v(k)""",
+    "spatial_join_wide_points": f"""
+        SELECT d.s_suppkey, q.parcel_id, md5(d.notes) AS notes_md5
+        FROM ({I.DEPOTS}) d JOIN ({I.PARCELS}) q
+          ON d.longitude BETWEEN q.x0 AND q.x0 + q.side AND d.latitude BETWEEN q.y0 AND q.y0 + q.side""",
     "hotspots_large_polygon": f"""
         SELECT coast, count(call_num) AS roadcall_count
         FROM ({I.CALLS}) c JOIN ({I.COAST}) t ON t.k = CAST(c.longitude * 2048 AS BIGINT)

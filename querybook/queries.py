@@ -29,6 +29,7 @@ from parcelgrid.operators import (
     with_coordinates,
     within_last_year,
 )
+from parcelgrid.operators.join import BROADCAST_LIMIT_CONF
 from parcelgrid.session import scratch_dir
 from parcelgrid.sinks import write_csv, write_geoparquet, write_parquet, write_table
 from parcelgrid.sources import (
@@ -153,6 +154,17 @@ def spatial_join_no_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir, broadcast=False)
 
 
+def spatial_join_wide_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few points with wide columns and a small limit: their coordinates are broadcast."""
+    session = spark.newSession()
+    session.conf.set(BROADCAST_LIMIT_CONF, str(1 << 20))
+    register_sql_functions(session)
+    pairs = spatial_join(
+        I.depot_points(session, sf_dir), I.parcels(session, sf_dir), ["parcel_id"], ["s_suppkey", "notes"]
+    )
+    return pairs.select("s_suppkey", "parcel_id", F.md5(F.col("notes").cast("binary")).alias("notes_md5"))
+
+
 def spatial_join_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points on shared edges and corners pair with each tract that touches them."""
     return spatial_join(
@@ -495,6 +507,7 @@ QUERIES = {
         sql_functions,
         spatial_join_pairs,
         spatial_join_no_broadcast,
+        spatial_join_wide_points,
         spatial_join_boundary,
         spatial_join_shapes,
         hotspots_per_tract,

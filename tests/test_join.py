@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +140,24 @@ def test_edges_as_rows_give_the_same_index(spark, monkeypatch, random_polygons):
         assert rows(True) == by_list
 
 
+@pytest.mark.parametrize("strategy", ["broadcast_points"], indirect=True)
+def test_wide_columns_are_not_broadcast(spark, capsys, strategy, random_points, random_polygons, expected):
+    notes = F.repeat(F.col("id").cast("string"), 2_000)
+    wide = random_points.select("id", notes.alias("notes"), "geometry")
+    plan = J.plan_join(wide, random_polygons, ["pid"])
+    assert plan.strategy == strategy
+    pairs = spatial_join(wide, random_polygons, ["pid"], ["id", "notes"])
+    assert sorted((r["id"], r["pid"]) for r in pairs.select("id", "pid").collect()) == expected
+    assert pairs.where(F.col("notes") != notes).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs.explain("formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sent = re.findall(r"\(\d+\) BroadcastExchange\nInput \[\d+\]: (.*)", capsys.readouterr().out)
+    assert sent and not any("notes" in columns for columns in sent)
+
+
 @pytest.mark.parametrize("strategy", STRATEGIES, indirect=True)
 def test_pairs_of_large_polygons(strategy, monkeypatch, random_points, random_polygons, expected):
     monkeypatch.setattr(C, "LARGE", 20)
