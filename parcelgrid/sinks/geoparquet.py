@@ -10,13 +10,13 @@ An append, or an object store that cannot rename folders, moves the files one by
 from __future__ import annotations
 
 import json
-import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark import TaskContext
@@ -32,7 +32,7 @@ VERSION = "1.0.0"
 # Fixed values of the formats: WKB type numbers, and names in the footer.
 _WKB_TYPE = {POINT: 1, POLYGON: 3, MULTIPOLYGON: 6}
 _FOOTER_NAME = {POINT: "Point", POLYGON: "Polygon", MULTIPOLYGON: "MultiPolygon"}
-_LITTLE_ENDIAN = b"\x01"
+_LITTLE_ENDIAN = 1
 # File systems whose folders move by one rename.
 _RENAMES_FOLDERS = ("local", "hdfs")
 _ATTEMPTS = 100
@@ -78,41 +78,71 @@ class _Extent:
 
 
 def to_wkb(geometries: pa.StructArray) -> pa.Array:
-    """WKB of a batch. Coordinates are taken from the batch's flat buffers."""
+    """WKB of a batch: every number is put in its place of one buffer, by offset arithmetic."""
     geometries = pa.concat_arrays([geometries])
-    kinds = geometries.field("kind").to_pylist()
-    valid = geometries.is_valid().to_pylist()
+    valid = geometries.is_valid().to_numpy(zero_copy_only=False)
+    kinds = geometries.field("kind")
+    is_point = pc.fill_null(pc.equal(kinds, POINT), False).to_numpy(zero_copy_only=False) & valid
+    is_multi = pc.fill_null(pc.equal(kinds, MULTIPOLYGON), False).to_numpy(zero_copy_only=False) & valid
     box, parts = geometries.field("bbox"), geometries.field("parts")
-    px, py = (box.field(n).to_numpy(zero_copy_only=False) for n in ("xmin", "ymin"))
     rings, part_at = parts.values, parts.offsets.to_numpy()
     vertices, ring_at = rings.values, rings.offsets.to_numpy()
     xy, vertex_at = vertices.values, vertices.offsets.to_numpy()
-    flat = np.column_stack(
-        [xy.field(n).to_numpy(zero_copy_only=False) for n in ("x", "y")]
-    ).astype("<f8")
-
-    def polygon(part: int) -> bytes:
-        first, last = ring_at[part], ring_at[part + 1]
-        pieces = [_LITTLE_ENDIAN, struct.pack("<II", _WKB_TYPE[POLYGON], last - first)]
-        for ring in range(first, last):
-            a, b = vertex_at[ring], vertex_at[ring + 1]
-            pieces += [struct.pack("<I", b - a), flat[a:b].tobytes()]
-        return b"".join(pieces)
-
-    out: list[bytes | None] = []
-    for i, kind in enumerate(kinds):
-        if not valid[i]:
-            out.append(None)
-        elif kind == POINT:
-            out.append(_LITTLE_ENDIAN + struct.pack("<Idd", _WKB_TYPE[POINT], px[i], py[i]))
-        else:
-            polygons = [polygon(p) for p in range(part_at[i], part_at[i + 1])]
-            if kind == MULTIPOLYGON:
-                head = struct.pack("<II", _WKB_TYPE[MULTIPOLYGON], len(polygons))
-                out.append(_LITTLE_ENDIAN + head + b"".join(polygons))
-            else:
-                out.append(polygons[0])
-    return pa.array(out, pa.binary())
+    # what lies outside of the valid polygons' lists, as under NULLs, takes no room
+    held = np.zeros(len(rings), bool)
+    owner = np.repeat(np.arange(len(geometries)), np.diff(part_at))
+    held[part_at[0] : part_at[-1]] = (valid & ~is_point)[owner]
+
+    points = np.diff(vertex_at)
+    ring_bytes = 4 + 16 * points
+    before_ring = np.concatenate([[0], np.cumsum(ring_bytes)])
+    polygon_bytes = np.where(held, 9 + before_ring[ring_at[1:]] - before_ring[ring_at[:-1]], 0)
+    before_polygon = np.concatenate([[0], np.cumsum(polygon_bytes)])
+    sizes = np.where(is_point, 21, 9 * is_multi + before_polygon[part_at[1:]] - before_polygon[part_at[:-1]])
+    offsets = np.concatenate([[0], np.cumsum(np.where(valid, sizes, 0))])
+    out = np.zeros(offsets[-1], np.uint8)
+
+    def put(places: np.ndarray, numbers: np.ndarray, kind: str) -> None:
+        data = np.ascontiguousarray(numbers, kind)
+        width = data.dtype.itemsize
+        out[places[:, None] + np.arange(width)] = data.view(np.uint8).reshape(-1, width)
+
+    def head(places: np.ndarray, kind: str) -> None:
+        out[places] = _LITTLE_ENDIAN
+        put(places + 1, np.full(len(places), _WKB_TYPE[kind]), "<u4")
+
+    at_point = offsets[:-1][is_point]
+    head(at_point, POINT)
+    for k, name in enumerate(("xmin", "ymin")):
+        put(at_point + 5 + 8 * k, box.field(name).to_numpy(zero_copy_only=False)[is_point], "<f8")
+    head(offsets[:-1][is_multi], MULTIPOLYGON)
+    put(offsets[:-1][is_multi] + 5, np.diff(part_at)[is_multi], "<u4")
+
+    chosen = np.nonzero(held)[0]
+    owner = np.repeat(np.arange(len(geometries)), np.diff(part_at))[chosen - part_at[0]]
+    at_polygon = offsets[:-1][owner] + 9 * is_multi[owner] + (before_polygon[chosen] - before_polygon[part_at[owner]])
+    head(at_polygon, POLYGON)
+    put(at_polygon + 5, np.diff(ring_at)[chosen], "<u4")
+
+    n = np.diff(ring_at)[chosen]
+    ring = np.repeat(ring_at[:-1][chosen], n) + _within(n)
+    at_ring = np.repeat(at_polygon + 9, n) + before_ring[ring] - np.repeat(before_ring[ring_at[:-1][chosen]], n)
+    put(at_ring, points[ring], "<u4")
+    n = points[ring]
+    vertex = np.repeat(vertex_at[:-1][ring], n) + _within(n)
+    at_vertex = np.repeat(at_ring + 4, n) + 16 * _within(n)
+    for k, name in enumerate(("x", "y")):
+        put(at_vertex + 8 * k, xy.field(name).to_numpy(zero_copy_only=False)[vertex], "<f8")
+
+    bitmap = pa.array(valid).buffers()[1]
+    kind = pa.binary() if offsets[-1] < 1 << 31 else pa.large_binary()
+    ends = offsets.astype("<i4" if kind == pa.binary() else "<i8")
+    return pa.Array.from_buffers(kind, len(valid), [bitmap, pa.py_buffer(ends.tobytes()), pa.py_buffer(out)])
+
+
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the pieces, end to end."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 @dataclass

@@ -198,43 +198,63 @@ def _group_rings(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
     return list(polygons.values())
 
 
-def _geometry(content: bytes) -> dict | None:
+def _shape(content: bytes) -> tuple[str, list[list[np.ndarray]], tuple] | None:
+    """(kind, polygons of rings, box) of one record."""
     shape = struct.unpack_from("<i", content)[0]
     if shape == _NULL:
         return None
     if shape in _POINTS:
         x, y = struct.unpack_from("<2d", content, 4)
-        box = {"xmin": x, "ymin": y, "xmax": x, "ymax": y}
-        return {"srid": 0, "kind": POINT, "parts": None, "bbox": box}
+        return POINT, [], (x, y, x, y)
     if shape not in _POLYGONS:
         raise ValueError(f"shape type {shape} is not supported: only points and polygons are")
     n_parts, n_points = struct.unpack_from("<2i", content, 36)
     starts = np.frombuffer(content, "<i4", n_parts, 44)
     xy = np.frombuffer(content, "<f8", 2 * n_points, 44 + 4 * n_parts).reshape(-1, 2) + 0.0
     rings = []
-    for ring in np.split(xy, starts[1:]):
-        if len(ring) and not np.array_equal(ring[0], ring[-1]):
+    for ring in [xy] if n_parts == 1 else np.split(xy, starts[1:]):
+        if len(ring) and (ring[0, 0] != ring[-1, 0] or ring[0, 1] != ring[-1, 1]):
             ring = np.vstack([ring, ring[:1]])
         if len(ring) >= 4:
             rings.append(ring)
     if not rings:
         return None
-    polygons = _group_rings(rings)
-    (xmin, ymin), (xmax, ymax) = xy.min(axis=0), xy.max(axis=0)
-    return {
-        "srid": 0,
-        "kind": POLYGON if len(polygons) == 1 else MULTIPOLYGON,
-        "parts": [
-            [[{"x": x, "y": y} for x, y in ring.tolist()] for ring in polygon]
-            for polygon in polygons
-        ],
-        "bbox": {
-            "xmin": float(xmin),
-            "ymin": float(ymin),
-            "xmax": float(xmax),
-            "ymax": float(ymax),
-        },
+    polygons = _group_rings(rings) if len(rings) > 1 else [rings]
+    box = (*xy.min(axis=0), *xy.max(axis=0))
+    return POLYGON if len(polygons) == 1 else MULTIPOLYGON, polygons, box
+
+
+def _geometries(contents: list[bytes], kind: pa.StructType) -> pa.StructArray:
+    """Records as a geometry column: flat coordinates, and offsets into them for each level."""
+    shapes = [_shape(content) for content in contents]
+    polygons = [p for s in shapes if s for p in s[1]]
+    rings = [r for p in polygons for r in p]
+    flat = np.concatenate([np.zeros((0, 2)), *rings])
+    missing = np.array([s is None for s in shapes], bool)
+    no_parts = np.array([s is None or s[0] == POINT for s in shapes], bool)
+
+    def ends(sizes: list[int]) -> pa.Array:
+        return pa.array(np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype("i4"))
+
+    fields = {f.name: f.type for f in kind}
+    one_part = fields["parts"].value_type
+    vertex = one_part.value_type.value_type
+    vertices = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], fields=list(vertex))
+    ring_lists = pa.ListArray.from_arrays(ends([len(r) for r in rings]), vertices, type=one_part.value_type)
+    part_lists = pa.ListArray.from_arrays(ends([len(p) for p in polygons]), ring_lists, type=one_part)
+    parts = pa.ListArray.from_arrays(
+        ends([len(s[1]) if s else 0 for s in shapes]), part_lists, type=fields["parts"], mask=pa.array(no_parts)
+    )
+    boxes = np.array([s[2] if s else (0.0,) * 4 for s in shapes], float).reshape(-1, 4)
+    box = pa.StructArray.from_arrays([pa.array(b) for b in boxes.T], fields=list(fields["bbox"]))
+    columns = {
+        "srid": pa.array(np.zeros(len(shapes), np.int32)),
+        "kind": pa.array([s[0] if s else "" for s in shapes]),
+        "parts": parts,
+        "bbox": box,
     }
+    arrays = [columns[f.name].cast(f.type) if f.name in ("srid", "kind") else columns[f.name] for f in kind]
+    return pa.StructArray.from_arrays(arrays, fields=list(kind), mask=pa.array(missing))
 
 
 class ShapefileDataSource(DataSource):
@@ -313,6 +333,7 @@ class _ShapefileReader(DataSourceReader):
                     span = slice(field.start, field.start + field.width)
                     values = [_value(records[i][span], field, table.encoding) for i in kept]
                     columns.append([None if v is None else _as(v, kinds[name]) for v in values])
-                columns.append([_geometry(contents[i]) for i in kept])
                 arrays = [pa.array(c, t) for c, t in zip(columns, arrow_schema.types)]
+                shapes = _geometries([contents[i] for i in kept], arrow_schema.field("geometry").type)
+                arrays.append(shapes)
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)

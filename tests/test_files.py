@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import contextlib
 import json
+import random
+import struct
 import sys
 import threading
 from datetime import datetime
@@ -19,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from parcelgrid.functions import st_astext, st_geomfromtext
 from parcelgrid.operators import roadcalls_per_tract, within_last_year
 from parcelgrid.sinks import write_csv, write_geoparquet, write_table
-from parcelgrid.sinks.geoparquet import GeoParquetDataSource, _Written
+from parcelgrid.sinks.geoparquet import GeoParquetDataSource, _Written, to_wkb
 from parcelgrid.sources import (
     list_tables,
     read_points_csv,
@@ -78,6 +80,46 @@ def test_geoparquet(spark, tmp_path):
     assert not _leftovers(tmp_path)
 
 
+def wkb_by_force(g):
+    """One geometry, number by number."""
+    if g is None:
+        return None
+    if g["kind"] == "POINT":
+        return struct.pack("<BIdd", 1, 1, g["bbox"]["xmin"], g["bbox"]["ymin"])
+    polygons = []
+    for part in g["parts"]:
+        data = struct.pack("<BII", 1, 3, len(part))
+        for ring in part:
+            data += struct.pack("<I", len(ring)) + b"".join(struct.pack("<dd", v["x"], v["y"]) for v in ring)
+        polygons.append(data)
+    if g["kind"] == "POLYGON":
+        return polygons[0]
+    return struct.pack("<BII", 1, 6, len(polygons)) + b"".join(polygons)
+
+
+def test_wkb_of_all_kinds_byte_by_byte():
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        x, y = rng.uniform(-180, 180), rng.uniform(-90, 90)
+        box = dict(xmin=x, ymin=y, xmax=x, ymax=y)
+        ring = lambda: [dict(x=rng.random(), y=rng.random()) for _ in range(rng.randrange(4, 9))]
+        part = lambda: [ring() for _ in range(rng.randrange(1, 4))]
+        rows.append(
+            None if i % 7 == 0
+            else {"srid": 4326, "kind": "POINT", "parts": None, "bbox": box} if i % 3 == 0
+            else {"srid": 4326, "kind": "POLYGON", "parts": [part()], "bbox": box} if i % 3 == 1
+            else {"srid": 4326, "kind": "MULTIPOLYGON", "parts": [part() for _ in range(rng.randrange(1, 4))], "bbox": box}
+        )
+    kind = to_arrow_schema(T.StructType().add("g", GEOMETRY_TYPE)).field("g").type
+    column = pa.array(rows, kind)
+    want = [wkb_by_force(g) for g in rows]
+    assert to_wkb(column).to_pylist() == want
+    for a, n in ((0, 0), (5, 1), (17, 100), (250, 50)):
+        assert to_wkb(column.slice(a, n)).to_pylist() == want[a : a + n]
+    assert to_wkb(pa.array([None, None], kind)).to_pylist() == [None, None]
+
+
 def _leftovers(folder):
     return [p.name for p in Path(folder).iterdir() if p.name.startswith("_")]
 
