@@ -1,14 +1,16 @@
 """Python data source ``shapefile``: shapefiles as a table with a geometry column.
 
-One input partition per range of records. The driver reads only the headers; a task
-reads its slice of the ``.shx`` index and then the matching bytes of ``.shp`` and
+Large files are cut into ranges of records and small ones packed together, so there are as
+many input partitions as the bytes need. The driver reads only the headers, many at a time;
+a task reads its slices of the ``.shx`` index and then the matching bytes of ``.shp`` and
 ``.dbf``.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal
@@ -29,6 +31,9 @@ _POLYGONS = {5, 15, 25}
 
 _HEADER = 100
 _PARTITION_BYTES = 32 << 20
+# What opening one more file counts for when files are packed.
+_OPEN_BYTES = 256 << 10
+_HEADER_THREADS = 32
 _BATCH_ROWS = 2048
 
 
@@ -53,11 +58,19 @@ class _Table:
 
 
 @dataclass
-class _Range(InputPartition):
+class _Range:
     base: str
     first: int
     last: int
     table: _Table
+    bytes: int
+
+
+@dataclass
+class _Pack(InputPartition):
+    """Ranges that one task reads."""
+
+    ranges: list[_Range]
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -103,6 +116,12 @@ def _bases(path: str) -> tuple[pafs.FileSystem, list[str]]:
     return fs, bases
 
 
+def _each(bases: list[str], action: Callable) -> list:
+    """``action`` on all files, many at a time: each waits for a few small reads."""
+    with ThreadPoolExecutor(_HEADER_THREADS) as pool:
+        return list(pool.map(action, bases))
+
+
 def _dbf_layout(fs: pafs.FileSystem, base: str, encoding: str | None) -> _Table:
     path = _needed(fs, base, ".dbf")
     rows, header, row_width = struct.unpack("<IHH", _read(fs, path, 4, 8))
@@ -267,8 +286,9 @@ class ShapefileDataSource(DataSource):
     def schema(self) -> T.StructType:
         fs, bases = _bases(self.options["path"])
         kinds: dict[str, T.DataType] = {}
-        for base in bases:
-            for field in _dbf_layout(fs, base, self.options.get("encoding")).fields:
+        layouts = _each(bases, lambda base: _dbf_layout(fs, base, self.options.get("encoding")))
+        for base, layout in zip(bases, layouts):
+            for field in layout.fields:
                 kind = _spark_type(field)
                 kinds[field.name] = _wider(kinds.get(field.name, kind), kind, field.name, base)
         fields = [T.StructField(name, kind) for name, kind in kinds.items()]
@@ -282,10 +302,10 @@ class _ShapefileReader(DataSourceReader):
     def __init__(self, path: str, encoding: str | None, schema: T.StructType):
         self.path, self.encoding, self.schema = path, encoding, schema
 
-    def partitions(self) -> list[_Range]:
+    def partitions(self) -> list[_Pack]:
         fs, bases = _bases(self.path)
-        ranges = []
-        for base in bases:
+
+        def cut(base: str) -> list[_Range]:
             rows = (fs.get_file_info(_needed(fs, base, ".shx")).size - _HEADER) // 8
             size = fs.get_file_info(_needed(fs, base, ".shp")).size
             table = _dbf_layout(fs, base, self.encoding)
@@ -293,11 +313,24 @@ class _ShapefileReader(DataSourceReader):
                 raise ValueError(f"{base}: {rows} shapes but {table.rows} rows of attributes")
             pieces = max(1, min(rows, -(-size // _PARTITION_BYTES)))
             cuts = [rows * i // pieces for i in range(pieces + 1)]
-            ranges += [_Range(base, a, b, table) for a, b in zip(cuts, cuts[1:])]
-        return ranges
-
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+            return [_Range(base, a, b, table, size // pieces) for a, b in zip(cuts, cuts[1:])]
+
+        packs, room = [], 0
+        for piece in (r for ranges in _each(bases, cut) for r in ranges):
+            cost = piece.bytes + _OPEN_BYTES
+            if cost > room:
+                packs.append(_Pack([]))
+                room = _PARTITION_BYTES
+            packs[-1].ranges.append(piece)
+            room -= cost
+        return packs
+
+    def read(self, partition: _Pack) -> Iterator[pa.RecordBatch]:
         fs, _ = _filesystem(self.path)
+        for piece in partition.ranges:
+            yield from self._read_range(fs, piece)
+
+    def _read_range(self, fs: pafs.FileSystem, partition: _Range) -> Iterator[pa.RecordBatch]:
         base, table = partition.base, partition.table
         arrow_schema = to_arrow_schema(self.schema)
         names = [f.name for f in self.schema.fields if f.name != "geometry"]

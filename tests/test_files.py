@@ -249,6 +249,17 @@ def test_shapefile_record_ranges(spark, tmp_path, monkeypatch):
     assert [r["geometry"]["bbox"]["xmin"] for r in rows] == [float(i) for i in range(50)]
 
 
+def test_many_small_shapefiles_share_tasks(spark, tmp_path):
+    square = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (0.0, 0.0)]
+    for i in range(600):
+        content = shapefile_bytes([[square]] * 2, [("ID", "N", 6, 0)], [[str(2 * i)], [str(2 * i + 1)]])
+        for suffix, data in content.items():
+            (tmp_path / f"t{i:04}{suffix}").write_bytes(data)
+    shapes = read_tracts_shapefile(spark, str(tmp_path))
+    assert shapes.select(F.spark_partition_id().alias("p")).distinct().count() == 5
+    assert sorted(r["ID"] for r in shapes.select("ID").collect()) == list(range(1200))
+
+
 def test_unsupported_shape_raises(spark, tmp_path):
     content = shapefile_bytes([[[(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (0.0, 0.0)]]], [("ID", "N", 6, 0)], [["1"]])
     shp = bytearray(content[".shp"])
