@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from parcelgrid.functions.classify import classify_parcel
 from parcelgrid.functions.geometry import once
 from parcelgrid.operators.lookup import MATCHED, spatial_lookup
 from parcelgrid.operators.points import add_point_geometry
-from parcelgrid.session import scratch_dir
+from parcelgrid.session import written
 from parcelgrid.types import PARCEL_ATTRS
 
 INVALID_COORDINATES = "invalid coordinates"
@@ -32,6 +32,8 @@ OUTPUT_COLUMNS = [
 ]
 
 _ATTR = "__parcel_"
+# Partitions whose counts are summed up together.
+GROUP = 1024
 
 
 def ensure_point_id(points: DataFrame) -> DataFrame:
@@ -40,7 +42,8 @@ def ensure_point_id(points: DataFrame) -> DataFrame:
     The position is the row's place in its partition plus the rows of the partitions
     before it. The input runs once: it is written, with partition and place as columns, to
     the shared scratch folder and read from there, so any input keeps every row and each
-    position occurs once. Only one count per partition moves.
+    position occurs once. Only one count per partition moves; counts are summed up within
+    groups of ``GROUP`` partitions, side by side, and then over the groups.
     """
     if "point_id" in points.columns:
         return points.withColumn("point_id", F.col("point_id").cast("string"))
@@ -49,18 +52,29 @@ def ensure_point_id(points: DataFrame) -> DataFrame:
     marked = points.select(
         "*", F.spark_partition_id().alias(part), in_partition.alias("__place")
     )
-    path = scratch_dir(points.sparkSession, "numbered")
-    marked.write.parquet(path)
-    marked = points.sparkSession.read.schema(marked.schema).parquet(path)
+    marked = written(marked, "numbered")
     counts = marked.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(start))
-    numbered = marked.join(F.broadcast(starts), part, "left")
+    numbered = marked.join(F.broadcast(partition_starts(counts, part, start)), part, "left")
     known = F.coalesce(start, F.raise_error(F.lit("a partition has no count")).cast("bigint"))
     position = (known + F.col("__place")).cast("string")
     return numbered.select(*points.columns, F.concat(F.lit("P"), position).alias("point_id"))
 
 
+def partition_starts(counts: DataFrame, part: str, start: str) -> DataFrame:
+    """``part`` and ``start``: the rows of all partitions before, from ``__n`` of each."""
+    group, before_group = "__group", "__before"
+    grouped = counts.select(part, "__n", F.expr(f"{part} div {GROUP}").alias(group))
+
+    def before(window: WindowSpec) -> Column:
+        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+
+    inside = grouped.select(part, group, before(Window.partitionBy(group).orderBy(part)).alias(start))
+    totals = grouped.groupBy(group).agg(F.sum("__n").alias("__n"))
+    totals = totals.select(group, before(Window.orderBy(group)).alias(before_group))
+    return inside.join(totals, group).select(part, (F.col(start) + F.col(before_group)).alias(start))
+
+
 def coordinate_error(lat: Column, lon: Column) -> Column:
     """Text where the coordinates cannot be looked up, else NULL."""
     usable = lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)

@@ -218,3 +218,19 @@ def test_a_parcel_without_an_id_raises(spark, parcels, prospects):
     nameless = parcels.withColumn("parcel_id", F.when(F.col("parcel_id") != 8, F.col("parcel_id")))
     with pytest.raises(Exception, match="parcel_id must not be NULL"):
         enrich(prospects, nameless).collect()
+
+
+def test_partition_starts_of_very_many_partitions(spark):
+    """Counts of 300,000 partitions: summed in groups, and only the groups in one task."""
+    from parcelgrid.operators.enrich import GROUP, partition_starts
+
+    n = 300_000
+    counts = spark.range(n).selectExpr("id AS p", "id * 7 % 13 AS __n").where("p % 1000 <> 5")
+    starts = partition_starts(counts, "p", "s")
+    total, rows = 0, starts.orderBy("p").collect()
+    assert len(rows) == n - n // 1000
+    for r in rows:
+        assert r["s"] == total
+        total += r["p"] * 7 % 13
+    groups = starts.select((F.col("p") / GROUP).cast("int").alias("g")).distinct().count()
+    assert groups < 300
