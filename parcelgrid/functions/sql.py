@@ -15,7 +15,7 @@ from parcelgrid.functions import expressions as X
 
 _FUNCTIONS = [
     ("st_point", "px DOUBLE, py DOUBLE", X.GEOMETRY, X.MAKE_POINT),
-    ("st_geomfromtext", "wkt STRING, srid INT", X.GEOMETRY, X.FROM_TEXT),
+    ("st_geomfromtext", "wkt STRING, srid INT DEFAULT 0", X.GEOMETRY, X.FROM_TEXT),
     ("st_astext", f"g {X.GEOMETRY}", "STRING", X.AS_TEXT),
     ("geo_srid", f"g {X.GEOMETRY}", "INT", "g.srid"),
     ("geo_setsrid", f"g {X.GEOMETRY}, srid INT", X.GEOMETRY, X.SET_SRID),

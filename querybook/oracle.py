@@ -117,6 +117,27 @@ def _classified(fields: list[str]) -> str:
     return _graded(f"({I.PARCELS})", "parcel_id", fields)
 
 
+_CORNERS = """
+SELECT n_nationkey, CAST(x0 AS DOUBLE) AS x0, CAST(y0 AS DOUBLE) AS y0, CAST(x0 + 20 AS DOUBLE) AS x1,
+       CAST(y0 + 20 AS DOUBLE) AS y1, full_field = 1 AS square
+"""
+_TRACT_TEXT = f"""
+SELECT n_nationkey, 'POLYGON ((' || x0 || ' ' || y0 || ', ' || x1 || ' ' || y0 || ', '
+       || CASE WHEN square THEN x1 || ' ' || y1 || ', ' ELSE '' END
+       || x0 || ' ' || y1 || ', ' || x0 || ' ' || y0 || '))' AS text
+FROM ({_CORNERS} FROM ({I.TRACTS}))
+"""
+
+
+def _double(name: str) -> str:
+    """The bytes, low end first, of the doubles that corners of tracts have."""
+    return f"""CASE {name} WHEN 0 THEN '0000000000000000' WHEN 20 THEN '0000000000003440'
+        WHEN 40 THEN '0000000000004440' WHEN 60 THEN '0000000000004E40'
+        WHEN 80 THEN '0000000000005440' WHEN 100 THEN '0000000000005940' END"""
+
+
+_X0, _Y0, _X1, _Y1 = (_double(name) for name in ("x0", "y0", "x1", "y1"))
+
 _RECENT = "roadcall_call_dt >= TIMESTAMP '2000-02-28 00:00:00'"
 
 ORACLES = {
@@ -177,6 +198,18 @@ ORACLES = {
         SELECT d.s_suppkey, q.parcel_id, md5(d.notes) AS notes_md5
         FROM ({I.DEPOTS}) d JOIN ({I.PARCELS}) q
           ON d.longitude BETWEEN q.x0 AND q.x0 + q.side AND d.latitude BETWEEN q.y0 AND q.y0 + q.side""",
+    "wkt_text": f"SELECT n_nationkey, text, CAST(0 AS INT) AS srid FROM ({_TRACT_TEXT})",
+    "geoparquet_wkb": f"""
+        SELECT n_nationkey, '010300000001000000' || CASE WHEN square THEN '05' ELSE '04' END || '000000'
+               || {_X0} || {_Y0} || {_X1} || {_Y0} || CASE WHEN square THEN {_X1} || {_Y1} ELSE '' END
+               || {_X0} || {_Y1} || {_X0} || {_Y0} AS wkb
+        FROM ({_CORNERS} FROM ({I.TRACTS}))""",
+    "job_hotspots": f"""
+        SELECT n_nationkey, n_name, roadcall_count, text FROM ({_COUNTS}) JOIN ({_TRACT_TEXT}) USING (n_nationkey)""",
+    "job_prospects": f"""
+        SELECT truck_flag, count(*) AS prospects, CAST(sum(count(*)) OVER () AS BIGINT) AS observed_rows,
+               CAST(sum(count(*) FILTER (WHERE truck_flag)) OVER () AS BIGINT) AS observed_flagged
+        FROM ({_enriched()}) GROUP BY truck_flag""",
     "hotspots_large_polygon": f"""
         SELECT coast, count(call_num) AS roadcall_count
         FROM ({I.CALLS}) c JOIN ({I.COAST}) t ON t.k = CAST(c.longitude * 2048 AS BIGINT)

@@ -30,6 +30,7 @@ from parcelgrid.operators import (
     within_last_year,
 )
 from parcelgrid.operators.join import BROADCAST_LIMIT_CONF
+from parcelgrid.plans import graded_prospects, hotspots
 from parcelgrid.session import scratch_dir
 from parcelgrid.sinks import write_csv, write_geoparquet, write_parquet, write_table
 from parcelgrid.sources import (
@@ -98,6 +99,13 @@ def wkt_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shapes.select("s_suppkey", (F.col("again") == F.col("geometry")).alias("same"))
 
 
+def wkt_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons as text, vertex by vertex; without an SRID it is 0."""
+    register_sql_functions(spark)
+    tracts = I.tracts_text(spark, sf_dir).select("n_nationkey", F.expr("st_geomfromtext(wkt) AS geometry"))
+    return tracts.select("n_nationkey", st_astext("geometry").alias("text"), st_srid("geometry").alias("srid"))
+
+
 def distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     corner = st_point(F.lit(3.0), F.lit(4.0))
     return I.calls(spark, sf_dir).select(
@@ -412,6 +420,25 @@ def enrich_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(I.prospects(spark, sf_dir), I.parcels(spark, sf_dir))
 
 
+def job_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan of the hotspot job, from raw call rows and a tract table."""
+    counts = hotspots(I.calls(spark, sf_dir), I.tracts(spark, sf_dir), TRACT_COLS)
+    return counts.select(*TRACT_COLS, "roadcall_count", st_astext("geometry").alias("text"))
+
+
+def job_prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan of the enrichment job; what it observes on the way is what it gives."""
+    seen = Observation()
+    path = scratch_dir(spark, "graded")
+    write_parquet(graded_prospects(I.prospects(spark, sf_dir), I.parcels(spark, sf_dir), observation=seen), path)
+    totals = seen.get
+    return spark.read.parquet(path).groupBy("truck_flag").agg(
+        F.count(F.lit(1)).alias("prospects"),
+        F.lit(totals["rows"]).alias("observed_rows"),
+        F.lit(totals["flagged"]).alias("observed_flagged"),
+    )
+
+
 def enrich_lookup_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose lookup failed carry the message and no grade."""
     failed = F.when(F.col("point_id").cast("bigint") % 10 == 3, "boom")
@@ -473,6 +500,13 @@ def geoparquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def geoparquet_wkb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracts written as GeoParquet: every byte of their WKB."""
+    path = scratch_dir(spark, "tracts-geo")
+    write_geoparquet(I.tracts(spark, sf_dir), path)
+    return spark.read.parquet(path).select("n_nationkey", F.hex("geometry").alias("wkb"))
+
+
 def shapefile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shapes written as shapefiles, read back and joined with the calls."""
     folder = scratch_dir(spark, "shapes")
@@ -502,6 +536,7 @@ QUERIES = {
         srid_roundtrip,
         wkt_polygon_parse,
         wkt_text_roundtrip,
+        wkt_text,
         distance,
         intersects_predicate,
         sql_functions,
@@ -536,6 +571,8 @@ QUERIES = {
         point_ids,
         point_ids_after_shuffle,
         enrich_output,
+        job_hotspots,
+        job_prospects,
         enrich_lookup_errors,
         enrich_summary,
         enrich_totals,
@@ -544,6 +581,7 @@ QUERIES = {
         parquet_roundtrip,
         table_roundtrip,
         geoparquet_roundtrip,
+        geoparquet_wkb,
         shapefile_roundtrip,
         shapefile_mixed_schemas,
     )
