@@ -55,6 +55,7 @@ def numbered(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint").alias("words"),
         F.monotonically_increasing_id().alias("tie"),  # equal turns too are spread over tasks
     )
+    turns = materialize(turns, "turn-digests")  # placing them reads them twice, texts only once
     order = [F.asc("conv_id"), F.asc_nulls_first("turn"), F.asc("digest"), F.asc("tie")]
     tasks = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = turns.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
