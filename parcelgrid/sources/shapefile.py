@@ -3,13 +3,15 @@
 Large files are cut into ranges of records and small ones packed together, so there are as
 many input partitions as the bytes need. The driver reads only the headers, many at a time;
 a task reads its slices of the ``.shx`` index and then the matching bytes of ``.shp`` and
-``.dbf``.
+``.dbf``. With a box, or comparisons of ``geometry.bbox`` with numbers where Spark pushes them
+down, a file whose header box lies outside is not opened by any task, and shapes outside are
+not decoded.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
@@ -19,7 +21,17 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+)
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from parcelgrid.types import GEOMETRY_TYPE, MULTIPOLYGON, POINT, POLYGON
@@ -66,6 +78,49 @@ class _Range:
     bytes: int
 
 
+# Bounds for xmin, ymin, xmax and ymax of a shape: (lowest, highest) each.
+_Bounds = dict[str, tuple[float, float]]
+_BOX = ("xmin", "ymin", "xmax", "ymax")
+
+
+_INFINITY = float("inf")
+_ANYWHERE: _Bounds = dict.fromkeys(_BOX, (-_INFINITY, _INFINITY))
+
+
+def _meeting(box: str | None) -> _Bounds:
+    """Bounds of the shapes whose box meets ``box``, four numbers in a row."""
+    if box is None:
+        return _ANYWHERE
+    xmin, ymin, xmax, ymax = (float(v) for v in box.split(","))
+    below, above = (lambda v: (-_INFINITY, v)), (lambda v: (v, _INFINITY))
+    return {"xmin": below(xmax), "ymin": below(ymax), "xmax": above(xmin), "ymax": above(ymin)}
+
+
+def _narrowed(bounds: _Bounds, filters: list[Filter]) -> _Bounds:
+    """With what the filters say about the corners of a box; other filters say nothing."""
+    bounds = dict(bounds)
+    for each in filters:
+        column, value = getattr(each, "attribute", ()), getattr(each, "value", None)
+        if column[:2] != ("geometry", "bbox") or not isinstance(value, (int, float)):
+            continue
+        low, high = bounds[column[2]]
+        if isinstance(each, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+            low = max(low, value)
+        if isinstance(each, (LessThan, LessThanOrEqual, EqualTo)):
+            high = min(high, value)
+        bounds[column[2]] = (low, high)
+    return bounds
+
+
+def _may_hold(bounds: _Bounds, box: tuple[float, ...], whole: bool) -> bool:
+    """Whether a shape with this box (``whole``), or one inside of it, can meet the bounds."""
+    xmin, ymin, xmax, ymax = box
+    if whole:
+        return all(bounds[name][0] <= v <= bounds[name][1] for name, v in zip(_BOX, box))
+    sides = {"xmin": (xmin, xmax), "xmax": (xmin, xmax), "ymin": (ymin, ymax), "ymax": (ymin, ymax)}
+    return all(bounds[n][0] <= high and bounds[n][1] >= low for n, (low, high) in sides.items())
+
+
 @dataclass
 class _Pack(InputPartition):
     """Ranges that one task reads."""
@@ -277,7 +332,9 @@ def _geometries(contents: list[bytes], kind: pa.StructType) -> pa.StructArray:
 
 
 class ShapefileDataSource(DataSource):
-    """Options: ``path`` (a file or a folder), ``encoding`` of the attribute text."""
+    """Options: ``path`` (a file or a folder), ``encoding`` of the attribute text, ``box``
+    (xmin,ymin,xmax,ymax: only shapes whose box meets it, boundary included), ``pushdown``
+    (true: take filters; the session must have ``spark.sql.python.filterPushdown.enabled``)."""
 
     @classmethod
     def name(cls) -> str:
@@ -295,19 +352,30 @@ class ShapefileDataSource(DataSource):
         return T.StructType([*fields, T.StructField("geometry", GEOMETRY_TYPE)])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _ShapefileReader(self.options["path"], self.options.get("encoding"), schema)
+        encoding, box = self.options.get("encoding"), self.options.get("box")
+        pushing = self.options.get("pushdown", "false").lower() == "true"
+        reader = _PushingReader if pushing else _ShapefileReader
+        return reader(self.options["path"], encoding, schema, box)
 
 
 class _ShapefileReader(DataSourceReader):
-    def __init__(self, path: str, encoding: str | None, schema: T.StructType):
+    def __init__(self, path: str, encoding: str | None, schema: T.StructType, box: str | None = None):
         self.path, self.encoding, self.schema = path, encoding, schema
+        self.bounds = _meeting(box)
+
+    @property
+    def pruned(self) -> bool:
+        return self.bounds != _ANYWHERE
 
     def partitions(self) -> list[_Pack]:
         fs, bases = _bases(self.path)
 
         def cut(base: str) -> list[_Range]:
             rows = (fs.get_file_info(_needed(fs, base, ".shx")).size - _HEADER) // 8
-            size = fs.get_file_info(_needed(fs, base, ".shp")).size
+            shp = _needed(fs, base, ".shp")
+            size = fs.get_file_info(shp).size
+            if self.pruned and not _may_hold(self.bounds, struct.unpack("<4d", _read(fs, shp, 36, 32)), False):
+                return []
             table = _dbf_layout(fs, base, self.encoding)
             if table.rows != rows:
                 raise ValueError(f"{base}: {rows} shapes but {table.rows} rows of attributes")
@@ -330,6 +398,13 @@ class _ShapefileReader(DataSourceReader):
         for piece in partition.ranges:
             yield from self._read_range(fs, piece)
 
+    def _wanted(self, content: bytes) -> bool:
+        """Whether a record, by the box at its head, can meet the bounds; no box meets none."""
+        shape = struct.unpack_from("<i", content)[0]
+        if shape in _POINTS:
+            return _may_hold(self.bounds, struct.unpack_from("<2d", content, 4) * 2, True)
+        return shape != _NULL and _may_hold(self.bounds, struct.unpack_from("<4d", content, 4), True)
+
     def _read_range(self, fs: pafs.FileSystem, partition: _Range) -> Iterator[pa.RecordBatch]:
         base, table = partition.base, partition.table
         arrow_schema = to_arrow_schema(self.schema)
@@ -357,6 +432,8 @@ class _ShapefileReader(DataSourceReader):
                     rows[i * table.row_width : (i + 1) * table.row_width] for i in range(count)
                 ]
                 kept = [i for i, row in enumerate(records) if row[:1] != b"*"]
+                if self.pruned:
+                    kept = [i for i in kept if self._wanted(contents[i])]
                 columns = []
                 for name in names:
                     field = by_name.get(name)
@@ -370,3 +447,12 @@ class _ShapefileReader(DataSourceReader):
                 shapes = _geometries([contents[i] for i in kept], arrow_schema.field("geometry").type)
                 arrays.append(shapes)
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+
+
+class _PushingReader(_ShapefileReader):
+    """For sessions that push filters down: in others Spark refuses a reader that takes them."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Takes note of bounds on the box; Spark still evaluates all filters on what is read."""
+        self.bounds = _narrowed(self.bounds, filters)
+        return filters

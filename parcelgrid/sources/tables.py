@@ -52,10 +52,22 @@ def read_tracts_wkt(spark: SparkSession, path: str, srid: int = WGS84) -> DataFr
     return tracts_from_wkt(spark.read.csv(path, header=True), "wkt", srid)
 
 
-def read_tracts_shapefile(spark: SparkSession, prefix: str, srid: int = WGS84) -> DataFrame:
-    """Shapefiles at a path or under a folder, the geometry tagged with ``srid``."""
+def read_tracts_shapefile(
+    spark: SparkSession,
+    prefix: str,
+    srid: int = WGS84,
+    box: tuple[float, float, float, float] | None = None,
+) -> DataFrame:
+    """Shapefiles at a path or under a folder, the geometry tagged with ``srid``.
+
+    With ``box`` (xmin, ymin, xmax, ymax) only shapes whose own box meets it; files outside
+    are not read.
+    """
     register_source(spark, ShapefileDataSource)
-    df = spark.read.format(ShapefileDataSource.name()).load(qualified(spark, prefix))
+    reader = spark.read.format(ShapefileDataSource.name())
+    if box is not None:
+        reader = reader.option("box", ",".join(repr(float(v)) for v in box))
+    df = reader.load(qualified(spark, prefix))
     return df.withColumn("geometry", st_setsrid("geometry", srid))
 
 

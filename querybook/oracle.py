@@ -291,6 +291,12 @@ ORACLES = {
                CAST(CASE WHEN n_nationkey % 2 = 0 THEN 93 ELSE 77 END AS BIGINT) AS wkb_bytes,
                '010300000001000000' AS wkb_head
         FROM ({_COUNTS})""",
+    "shapefile_in_box": f"""
+        SELECT s_suppkey, ax AS xmin, ay + height AS ymax
+        FROM (SELECT *, unit * CASE form WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 2 ELSE 3 END AS width,
+                     unit * CASE form WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 2 ELSE 1 END AS height
+              FROM ({I.SHAPES}))
+        WHERE ax <= 40 AND ax + width >= 20 AND ay <= 45.5 AND ay + height >= 30""",
     "shapefile_roundtrip": f"""
         SELECT s_suppkey, 'shape ' || s_suppkey AS label, count(l_orderkey) AS roadcall_count,
                CASE WHEN form = 3 THEN 'MULTIPOLYGON' ELSE 'POLYGON' END AS kind

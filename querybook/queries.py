@@ -518,6 +518,14 @@ def shapefile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("s_suppkey", "label", "roadcall_count", F.col("geometry.kind").alias("kind"))
 
 
+def shapefile_in_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shapes whose box meets a box; files outside are not read."""
+    folder = scratch_dir(spark, "boxed-shapes")
+    write_shapefiles(I.shapes(spark, sf_dir), folder, "s_suppkey")
+    shapes = read_tracts_shapefile(spark, folder, box=(20.0, 30.0, 40.0, 45.5))
+    return shapes.select("s_suppkey", F.col("geometry.bbox.xmin").alias("xmin"), F.col("geometry.bbox.ymax").alias("ymax"))
+
+
 def shapefile_mixed_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder of shapefiles with unlike attributes: each file's columns are there."""
     folder = scratch_dir(spark, "mixed")
@@ -583,6 +591,7 @@ QUERIES = {
         geoparquet_roundtrip,
         geoparquet_wkb,
         shapefile_roundtrip,
+        shapefile_in_box,
         shapefile_mixed_schemas,
     )
 }

@@ -249,6 +249,44 @@ def test_shapefile_record_ranges(spark, tmp_path, monkeypatch):
     assert [r["geometry"]["bbox"]["xmin"] for r in rows] == [float(i) for i in range(50)]
 
 
+def test_shapefiles_outside_a_box_are_not_read(spark, tmp_path):
+    from pyspark.sql.datasource import GreaterThanOrEqual, LessThan
+
+    import parcelgrid.sources.shapefile as S
+
+    square = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (0.0, 0.0)]
+    for i in range(12):
+        shapes = [[[(x + 10 * i + 2 * j, y) for x, y in square]] for j in range(4)] + [None]
+        content = shapefile_bytes(shapes, [("ID", "N", 6, 0)], [[str(4 * i + j)] for j in range(4)] + [["-1"]])
+        for suffix, data in content.items():
+            (tmp_path / f"t{i:02}{suffix}").write_bytes(data)
+    source = S.ShapefileDataSource({"path": str(tmp_path)})
+
+    def files(reader):
+        return sum(len(pack.ranges) for pack in reader.partitions())
+
+    def ids(reader):
+        return sorted(r["ID"] for p in reader.partitions() for batch in reader.read(p) for r in batch.to_pylist())
+
+    whole = source.reader(source.schema())
+    assert files(whole) == 12 and len(ids(whole)) == 60
+    boxed = S._ShapefileReader(str(tmp_path), None, source.schema(), "33.0,0.5,41.0,9.0")
+    assert files(boxed) == 2 and ids(boxed) == [13, 14, 15, 16]  # 32-33 touches the box, as does 40-41
+    pushed = S.ShapefileDataSource({"path": str(tmp_path), "pushdown": "true"}).reader(source.schema())
+    filters = [GreaterThanOrEqual(("geometry", "bbox", "xmin"), 20.0), LessThan(("geometry", "bbox", "xmax"), 33.0), GreaterThanOrEqual(("ID",), 9)]
+    assert list(pushed.pushFilters(filters)) == filters
+    assert files(pushed) == 2 and ids(pushed) == [8, 9, 10, 11, 12, 13]  # Spark drops what is left over
+    frame = read_tracts_shapefile(spark, str(tmp_path), box=(33, 0.5, 41, 9))
+    assert sorted(r["ID"] for r in frame.collect()) == [13, 14, 15, 16]
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        raw = spark.read.format("shapefile").option("pushdown", "true").load(str(tmp_path))
+        few = raw.where("geometry.bbox.xmin >= 20 AND geometry.bbox.xmax < 33 AND ID >= 9")
+        assert sorted(r["ID"] for r in few.collect()) == [9, 10, 11, 12]
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
 def test_many_small_shapefiles_share_tasks(spark, tmp_path):
     square = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (0.0, 0.0)]
     for i in range(600):
