@@ -23,6 +23,7 @@ from parcelgrid.functions import expressions as X
 from parcelgrid.functions.geometry import once
 from parcelgrid.session import written
 
+POINT_X, POINT_Y = "__x", "__y"
 KEY = "__cell"
 EDGES = "__edges"
 REST = "__rest"
@@ -66,6 +67,7 @@ class PolygonStats:
     levels: list[LevelStats]
     srid: int | None
     most_edges: int = 0
+    box: tuple[float, float, float, float] | None = None
 
     def index_bytes(self, shift: int) -> int:
         return sum(level.bytes[shift] for level in self.levels)
@@ -76,6 +78,16 @@ class PolygonStats:
     def levels_at(self, shift: int) -> list[int]:
         return [level.level + shift for level in self.levels]
 
+    def overlap(self) -> float:
+        """How many polygons have a cell at an average spot of the box around them all."""
+        if self.box is None:
+            return 0.0
+        xmin, ymin, xmax, ymax = self.box
+        polygons = float(sum(level.polygons for level in self.levels))
+        covered = sum(level.cells[0] * 4.0**level.level for level in self.levels)
+        area = (xmax - xmin) * (ymax - ymin)
+        return min(polygons, covered / area) if area > 0 else polygons
+
 
 # 4 to 64 cells across the longer side of the box, by the number of vertices; wide
 # enough for cell numbers to fit the key.
@@ -94,7 +106,7 @@ CASE WHEN g.kind = 'POINT' THEN CAST(raise_error('the polygon side holds a point
 """
 
 
-def _side(level: str) -> str:
+def side_of(level: str) -> str:
     """2 ** level, exactly."""
     return f"(shiftleft(1L, greatest({level}, 0)) / shiftleft(1L, greatest(-({level}), 0)))"
 
@@ -122,7 +134,7 @@ def polygon_stats(polygons: DataFrame, payload: list[str]) -> PolygonStats:
     payload_bytes = F.length(F.to_json(F.struct(*payload))) if payload else F.lit(0)
     sums = []
     for shift in SHIFTS:
-        side = _side(f"{LEVEL} + {shift}")
+        side = side_of(f"{LEVEL} + {shift}")
         cells = (
             f"(floor(xmax / {side}) - floor(xmin / {side}) + 1)"
             f" * (floor(ymax / {side}) - floor(ymin / {side}) + 1)"
@@ -143,13 +155,14 @@ def polygon_stats(polygons: DataFrame, payload: list[str]) -> PolygonStats:
             *(F.expr(f"g.bbox.{name} AS {name}") for name in box),
             F.expr(f"{X.edges('g.parts')} AS {EDGES}"),
         )
-        .select("*", F.expr(f"{_cells_passed(_side(LEVEL))} AS __passed"))
+        .select("*", F.expr(f"{_cells_passed(side_of(LEVEL))} AS __passed"))
         .groupBy(LEVEL)
         .agg(
             F.expr("count(1) AS polygons"),
             F.expr("min(srid) AS srid_min"),
             F.expr("max(srid) AS srid_max"),
             F.expr(f"max(size({EDGES})) AS most_edges"),
+            *(F.expr(f"{'min' if name.endswith('min') else 'max'}({name}) AS {name}") for name in box),
             *sums,
         )
         .collect()
@@ -169,7 +182,10 @@ def polygon_stats(polygons: DataFrame, payload: list[str]) -> PolygonStats:
         for r in sorted(rows, key=lambda r: r[LEVEL])
     ]
     most_edges = max((r["most_edges"] for r in rows), default=0)
-    return PolygonStats(levels, next(iter(srids), None), most_edges)
+    around = tuple(
+        (min if name.endswith("min") else max)(r[name] for r in rows) for name in box
+    ) if rows else None
+    return PolygonStats(levels, next(iter(srids), None), most_edges, around)
 
 
 def _pack(level: str, cx: str, cy: str) -> str:
@@ -202,7 +218,7 @@ def box_cells(polygons: DataFrame, payload: list[str], shift: int) -> DataFrame:
 
 
 def _box_keys(measured: DataFrame, kept: list[str], shift: int) -> DataFrame:
-    side = _side(f"{LEVEL} + {shift}")
+    side = side_of(f"{LEVEL} + {shift}")
     return (
         measured.select("*", F.expr(f"explode({_span('y', side)}) AS __cy"))
         .select("*", F.expr(f"explode({_span('x', side)}) AS __cx"))
@@ -297,7 +313,7 @@ def _cells_by_list(
 ) -> DataFrame:
     if partitions:
         polygons = polygons.select(*payload, "geometry").repartition(partitions)
-    side = _side(f"{LEVEL} + {shift}")
+    side = side_of(f"{LEVEL} + {shift}")
     bands = (
         _measured(polygons, payload)
         .where(f"NOT {large} OR aggregate(flatten(g.parts), 0, (n, r) -> n + size(r) - 1) <= {LARGE}")
@@ -332,7 +348,7 @@ def large_polygon_cells(polygons: DataFrame, payload: list[str], shift: int, lim
             F.monotonically_increasing_id().alias("__id"),
             *payload,
             LEVEL,
-            F.expr(f"{_side(f'{LEVEL} + {shift}')} AS __side"),
+            F.expr(f"{side_of(f'{LEVEL} + {shift}')} AS __side"),
             F.expr("g.bbox.xmin AS __xmin"),
             F.expr("g.bbox.xmax AS __xmax"),
             EDGES,
@@ -389,22 +405,29 @@ def levels_of(index: DataFrame) -> list[int]:
 
 # What a key says: level, column and row of the cell.
 KEY_LEVEL = f"(CAST(shiftrightunsigned({KEY}, {2 * CELL_BITS}) AS INT) + {MIN_LEVEL})"
-_KEY_X = f"((shiftright({KEY}, {CELL_BITS}) & {2 * HALF_RANGE - 1}L) - {HALF_RANGE}L)"
-_KEY_Y = f"(({KEY} & {2 * HALF_RANGE - 1}L) - {HALF_RANGE}L)"
+KEY_X = f"((shiftright({KEY}, {CELL_BITS}) & {2 * HALF_RANGE - 1}L) - {HALF_RANGE}L)"
+KEY_Y = f"(({KEY} & {2 * HALF_RANGE - 1}L) - {HALF_RANGE}L)"
 _FINER = 1 << LEVEL_STEP
 
+
+def ancestor(level: str) -> str:
+    """Key of the cell of a coarser ``level`` that holds the cell."""
+    up = f"{level} - {KEY_LEVEL}"
+    return _pack(level, f"shiftright({KEY_X}, {up})", f"shiftright({KEY_Y}, {up})")
+
+
 # Cells one level step finer exist, and their numbers fit the key.
 DIVISIBLE = (
     f"({KEY_LEVEL} - {LEVEL_STEP} >= {MIN_LEVEL}"
-    f" AND greatest(abs({_KEY_X}), abs({_KEY_Y})) + 1 < {HALF_RANGE // _FINER})"
+    f" AND greatest(abs({KEY_X}), abs({KEY_Y})) + 1 < {HALF_RANGE // _FINER})"
 )
 
 # The polygon holds the whole cell: all that is left is one upright edge on its right.
 COVERS = f"""
 (size({EDGES}) = 1 AND {EDGES}[0].x1 = {EDGES}[0].x2
- AND {EDGES}[0].x1 >= ({_KEY_X} + 1) * {_side(KEY_LEVEL)}
- AND {EDGES}[0].y1 <= {_KEY_Y} * {_side(KEY_LEVEL)}
- AND {EDGES}[0].y2 >= ({_KEY_Y} + 1) * {_side(KEY_LEVEL)})
+ AND {EDGES}[0].x1 >= ({KEY_X} + 1) * {side_of(KEY_LEVEL)}
+ AND {EDGES}[0].y1 <= {KEY_Y} * {side_of(KEY_LEVEL)}
+ AND {EDGES}[0].y2 >= ({KEY_Y} + 1) * {side_of(KEY_LEVEL)})
 """
 
 
@@ -414,10 +437,10 @@ def divided(index: DataFrame, payload: list[str]) -> DataFrame:
         *payload,
         EDGES,
         F.expr(f"{KEY_LEVEL} - {LEVEL_STEP} AS __finer"),
-        F.expr(f"{_KEY_X} * {_FINER} AS __cx0"),
-        F.expr(f"{_KEY_X} * {_FINER} + {_FINER - 1} AS __cx1"),
-        F.expr(f"explode(sequence({_KEY_Y} * {_FINER}, {_KEY_Y} * {_FINER} + {_FINER - 1})) AS __cy"),
-    ).select("*", F.expr(f"{_side('__finer')} AS __side"))
+        F.expr(f"{KEY_X} * {_FINER} AS __cx0"),
+        F.expr(f"{KEY_X} * {_FINER} + {_FINER - 1} AS __cx1"),
+        F.expr(f"explode(sequence({KEY_Y} * {_FINER}, {KEY_Y} * {_FINER} + {_FINER - 1})) AS __cy"),
+    ).select("*", F.expr(f"{side_of('__finer')} AS __side"))
     return _cut(bands, payload, ["__finer"], "__finer")
 
 
@@ -456,6 +479,11 @@ def slots_may_hit(x: str, y: str) -> Column:
     return F.expr(f"{REST} IS NOT NULL OR {X.is_hit(_slots_total(x, y))}")
 
 
+def slots_only_hit(x: str, y: str) -> Column:
+    """Exact for rows without edges left over."""
+    return F.expr(X.is_hit(_slots_total(x, y)))
+
+
 def slots_hit(x: str, y: str) -> Column:
     total = f"{_slots_total(x, y)} + {X.edges_total(REST, x, y)}"
     return F.expr(f"{REST} IS NULL OR {X.is_hit(total)}")

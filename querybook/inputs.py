@@ -151,6 +151,11 @@ def _derive(spark: SparkSession, sf_dir: str, sql: str, table: str) -> DataFrame
     return spark.sql(sql.replace(f"FROM {table}", "FROM {source}"), source=source)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows of a small file dealt to all tasks, where each has much text to be parsed."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, CALLS, "lineitem")
 
@@ -210,7 +215,7 @@ def shapes_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             text("MULTIPOLYGON((", square(0, 0, 1), "), (", square(2, 0, 1), "))")
         )
     )
-    return _derive(spark, sf_dir, SHAPES, "supplier").select("s_suppkey", "form", wkt.alias("wkt"))
+    return _spread(_derive(spark, sf_dir, SHAPES, "supplier")).select("s_suppkey", "form", wkt.alias("wkt"))
 
 
 def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +230,7 @@ def nested_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = _ring(
         ("cx - half", "cy - half"), ("cx + half", "cy - half"), ("cx + half", "cy + half"), ("cx - half", "cy + half")
     )
-    table = _derive(spark, sf_dir, NESTED, "part").withColumn("wkt", F.concat(F.lit("POLYGON("), ring, F.lit(")")))
+    table = _spread(_derive(spark, sf_dir, NESTED, "part")).withColumn("wkt", F.concat(F.lit("POLYGON("), ring, F.lit(")")))
     return tracts_from_wkt(table).drop("cx", "cy", "half", "wkt")
 
 

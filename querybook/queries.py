@@ -182,14 +182,12 @@ def spatial_join_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spatial_join_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Concave shapes, holes and several parts, in sizes that need several cell levels."""
-    pairs = spatial_join(
+    return spatial_join(
         I.call_points(spark, sf_dir),
         I.shapes(spark, sf_dir),
         ["s_suppkey"],
         ["l_orderkey"],
-    )
-    return pairs.groupBy("s_suppkey").agg(
-        F.count(F.lit(1)).alias("points"), F.sum("l_orderkey").alias("key_sum")
+        totals={"points": None, "key_sum": "l_orderkey"},
     )
 
 
