@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcelgrid.functions import expressions as E
 from parcelgrid.functions.geometry import once, record
 from parcelgrid.operators import cells as C
+from parcelgrid.operators import grid
 from parcelgrid.operators.join import (
     X,
     Y,
@@ -62,7 +63,9 @@ def spatial_lookup(
     spots = points.select("*", once(spot).alias(_SPOT)).select(
         *points.columns, F.expr(f"{_SPOT}.x AS {X}"), F.expr(f"{_SPOT}.y AS {Y}")
     )
-    if plan.strategy == "broadcast_polygons":
+    if grid.pays(points, plan.stats, plan.strategy == "broadcast_polygons"):
+        found = _by_spot(spots, shapes, payload, plan, crowded=True)
+    elif plan.strategy == "broadcast_polygons":
         found = _probe_cells(spots, shapes, payload, plan)
     else:
         found = _by_spot(spots, shapes, payload, plan)
@@ -163,11 +166,21 @@ def _probe_cells(
 
 
 def _by_spot(
-    spots: DataFrame, parcels: DataFrame, payload: list[str], plan: JoinPlan
+    spots: DataFrame, parcels: DataFrame, payload: list[str], plan: JoinPlan, crowded: bool = False
 ) -> DataFrame:
-    """Look up each distinct coordinate pair once, then attach the result to the rows."""
+    """Look up each distinct coordinate pair once, then attach the result to the rows.
+
+    Where parcels are ``crowded``, their cells are divided down to those of a grid, and in
+    every one only those that can be the answer are kept.
+    """
     distinct = spots.where(f"{X} IS NOT NULL").select(X, Y).distinct()
-    pairs = match_pairs(distinct, parcels, payload, plan)
+    if crowded:
+        distinct = written(distinct, "spots")
+        pairs = grid.candidate_pairs(
+            distinct, parcels, payload, plan.stats, broadcast_limit(spots), lambda rows: _undominated(rows, payload)
+        )
+    else:
+        pairs = match_pairs(distinct, parcels, payload, plan)
     best = pairs.groupBy(X, Y).agg(F.min(F.struct(*payload)).alias(_BEST))
     if plan.strategy == "broadcast_points":
         # Few rows, but their attributes may be wide: Spark broadcasts them if they are small.
