@@ -13,9 +13,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import ceil, floor, log2
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelgrid.functions import expressions as E
 from parcelgrid.operators import cells as C
 from parcelgrid.operators.skew import split_join
 from parcelgrid.session import written
@@ -162,13 +163,15 @@ def _met(
             F.expr(f"{finer} {side} END AS __wide"),
             F.col(_AT).alias(C.KEY),
         )
-        met = split_join(probes, C.with_slots(index), [C.KEY], condition=C.slots_may_hit(X, Y))
-        # The rows of a cell finer than the grid are right for its own points only.
+        # The rows of a cell finer than the grid are right for its own points only; this goes
+        # first, so that few pairs become rows with their edges.
         own = F.expr(
             f"__wide IS NULL OR ({X} >= __x0 AND {X} < __x0 + __wide AND {Y} >= __y0 AND {Y} < __y0 + __wide)"
         )
+        met = split_join(probes, index, [C.KEY], condition=own)
         # As in a join on cells, the test with a lambda stays out of the join's generated code.
-        met = met.where((own & C.slots_hit(X, Y)) | (F.monotonically_increasing_id() < 0))
+        hit = F.expr(E.is_hit(E.edges_total(C.EDGES, X, Y)))
+        met = met.where(hit | (F.monotonically_increasing_id() < 0))
         found.append(met.select(*columns))
     return found
 
