@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelgrid.functions.geometry import once
-from parcelgrid.operators.join import X, Y, located, match_pairs, plan_join
+from parcelgrid.operators import grid
+from parcelgrid.operators.join import X, Y, broadcast_limit, located, match_pairs, plan_join
 from parcelgrid.operators.keys import ROW_KEY, with_row_key
 from parcelgrid.session import written
 
@@ -43,6 +44,12 @@ def count_points_per_polygon(
     plan = plan_join(points, distinct, [], broadcast)
     if not plan.stats.levels:
         counts = distinct.limit(0).select(*ROW_KEY, F.lit(0).cast("bigint").alias(count_col))
+    elif grid.pays(points, plan.stats, plan.strategy == "broadcast_polygons"):
+        one = F.col(id_col).isNotNull().cast("bigint")
+        spots = located(points, plan.stats.srid, [one.alias(count_col)])
+        counts = grid.polygon_totals(
+            spots, distinct, ROW_KEY, [count_col], _ID, plan.stats, broadcast_limit(points)
+        ).drop(_ID)
     else:
         spots = located(points, plan.stats.srid, [F.col(id_col).alias(_ID)])
         total = F.count(_ID)
